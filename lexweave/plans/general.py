@@ -50,7 +50,7 @@ with number as (
   select itemid, x[1] || '/' || right(x[2], 2) appno from (
     select itemid, unnest(list_transform(
       regexp_extract_all(appno, '[0-9]+\s*[/∕⁄／]\s*[0-9]{2,4}'),
-      t -> [ltrim(regexp_extract(t, '^[0-9]+'), '0'), regexp_extract(t, '[0-9]+$')])) x
+      lambda t: [ltrim(regexp_extract(t, '^[0-9]+'), '0'), regexp_extract(t, '[0-9]+$')])) x
     from {src} where appno is not null)
 ), one_case as (
   select itemid, arg_max(lower(trim(coalesce(isplaceholder, ''))) = 'true', fetched_at) gone, min(fetched_at) since
@@ -62,7 +62,7 @@ with number as (
   select distinct x[1] || '/' || right(x[2], 2) appno from (
     select unnest(list_transform(
       regexp_extract_all(appno, '[0-9]+\s*[/∕⁄／]\s*[0-9]{2,4}'),
-      t -> [ltrim(regexp_extract(t, '^[0-9]+'), '0'), regexp_extract(t, '[0-9]+$')])) x
+      lambda t: [ltrim(regexp_extract(t, '^[0-9]+'), '0'), regexp_extract(t, '[0-9]+$')])) x
     from leading_case where appno is not null)
 ), ref as (
   select 'extractedapp' tbl, id ref_id, loaded_at,
@@ -74,7 +74,7 @@ with number as (
   select distinct 'scl', id, loaded_at, x[1] || '/' || right(x[2], 2) from (
     select id, loaded_at, unnest(list_transform(
       regexp_extract_all(name, '[0-9]+\s*[/∕⁄／]\s*(?:[0-9]{4}|[0-9]{2})\b'),
-      t -> [ltrim(regexp_extract(t, '^[0-9]+'), '0'), regexp_extract(t, '[0-9]+$')])) x
+      lambda t: [ltrim(regexp_extract(t, '^[0-9]+'), '0'), regexp_extract(t, '[0-9]+$')])) x
     from scl)
 ), orphan as (
   select tbl, ref_id, appno, strftime(loaded_at at time zone 'UTC', '%Y-%m') as month,
