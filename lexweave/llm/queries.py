@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import bpe, mixing
+from . import bpe, mixing, spans
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +20,13 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))[1]
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_mix, p8_shares)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.shared_pairs(table(spark, sf_dir, "documents"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.shared_shares(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p7_ids, p8_mix, p8_shares, p9_found, p9_shares)}
 ORACLES: dict[str, str] = {}
