@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import bpe, mixing, spans
+from . import bpe, canonical, mixing, spans
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.map_to_list(table(spark, sf_dir, "conclusion"), table(spark, sf_dir, "article_list"))
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,5 +32,5 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_shares(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_mix, p8_shares, p9_found, p9_shares)}
+QUERIES = {f.__name__: f for f in (p4_found, p7_ids, p8_mix, p8_shares, p9_found, p9_shares)}
 ORACLES: dict[str, str] = {}
