@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import bpe, canonical, mixing, spans
+from . import bpe, canonical, mixing, names, spans
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {t: table(spark, sf_dir, t) for t in ("representative", "decisionbodymember", "party")}
+    return names.name_pairs(names.link_names(tables))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,5 +37,5 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_shares(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p7_ids, p8_mix, p8_shares, p9_found, p9_shares)}
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p7_ids, p8_mix, p8_shares, p9_found, p9_shares)}
 ORACLES: dict[str, str] = {}
