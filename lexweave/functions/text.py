@@ -19,9 +19,15 @@ MARKS = (",", ".", ":", ";", "'", '"', "’")
 # Letters with marks and what they are written as in ASCII, one for one.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćčďđēęěğģīįķłļńņňōőŕřśşšţťūůűųźżžșțı"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyaaaccddeeeggiikllnnnoorrsssttuuuuzzzsti"
+#: White space of any kind, spelled out because engines disagree on it; for use inside a character class.
+BLANK = r"\t\n\x0b\x0c\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
 
 
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, rf"^[{BLANK}]+|[{BLANK}]+$", "")
+
+
 def lower(text: Column) -> Column:
     """Lower case in which a dotted capital I is one letter."""
     return F.lower(F.replace(text, F.lit("İ"), F.lit("i")))
@@ -66,12 +72,12 @@ def normalised(text: Column, orders: int = 4) -> Column:
 def strip_number(line: Column) -> Column:
     """A paragraph without its number, trimmed; as it is where it has none."""
     rest = F.regexp_extract(line, r"^(?:[\p{L}\p{N}_]+\.)([^\n]+)", 1)
-    return F.when(rest != "", F.regexp_replace(rest, r"^\s+|\s+$", "")).otherwise(line)
+    return F.when(rest != "", strip(rest)).otherwise(line)
 
 
 def strip_title_number(line: Column) -> Column:
     rest = F.regexp_extract(line, r"^[\p{L}\p{N}_]+\.([^\n]+)", 1)
-    return F.when(rest != "", F.regexp_replace(rest, r"^\s+|\s+$", "")).otherwise(line)
+    return F.when(rest != "", strip(rest)).otherwise(line)
 
 
 def split_number(line: Column) -> Column:
@@ -83,7 +89,7 @@ def decision_body_line(line: Column) -> Column:
     """A line of the decision body without offices and commas."""
     for word in ("President", " Registrar", "judges", ","):
         line = F.replace(line, F.lit(word), F.lit(""))
-    return F.regexp_replace(line, r"^\s+|\s+$", "")
+    return strip(line)
 
 
 def match_form(text: Column) -> Column:

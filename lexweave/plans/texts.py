@@ -8,6 +8,7 @@ from ..functions import text as fn
 from ..operators import documents as od
 from ..operators import features as op
 from ..session import table
+from ..sources import lookups
 
 VOCABULARY = 500
 
@@ -131,10 +132,9 @@ def _judge_lines(spark, sf_dir):
 
 
 def gazetteer_match(spark, sf_dir):
-    """Names of leading cases inside documents: which line each stands in, the longest where they overlap."""
-    leading = table(spark, sf_dir, "leading_case")
-    words = leading.select(F.initcap(F.regexp_replace(F.split_part("docname", F.lit(" v. "), F.lit(1)), "^CASE OF ", "")).alias("entry")).distinct()
-    return od.gazetteer(_docs(spark, sf_dir), words)
+    """Names of countries inside documents: which line each stands in, the longest where they overlap."""
+    names = lookups.countries(table(spark, sf_dir, "leading_case"))
+    return od.gazetteer(_docs(spark, sf_dir), names.select(F.initcap("country").alias("entry")))
 
 
 _T = r"[\pL\pN_]+|[^\pL\pN_\s\x0b]+"  # RE2 doesn't count the vertical tab as white space
@@ -151,7 +151,7 @@ _VOC = _TOK + f""", top as (select token, count(*) n from tok group by token ord
   voc as (select *, row_number() over (order by token) - 1 token_id from top),
   b as (select doc_id, token_id, count(*) tf from tok join voc using (token) group by all)"""
 _LINE = _D + r""", line as (select doc_id, unnest(a) line, generate_subscripts(a, 1) - 1 pos from (select doc_id, regexp_split_to_array(text, '\r\n|\n|\r') a from d)),
-  l as (select * from line where trim(line) <> '')"""
+  l as (select * from line where regexp_replace(line, '^[__WS__]+|[__WS__]+$', '', 'g') <> '')""".replace("__WS__", fn.BLANK)
 _LEVEL = _LINE + r""", lv as (select *, case when length(line) < 15 then 1 when length(line) < 30 then 2 when length(line) < 45 then 3 when length(line) < 60 then 4 else 5 end as level from l),
   mx as (select *, """ + ", ".join(f"max(case when level = {k} then pos end) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding) p{k}" for k in (1, 2, 3, 4)) + """ from lv),
   t as (select doc_id, pos, line, level, case level when 1 then null when 2 then p1 when 3 then greatest(p1, p2) when 4 then greatest(p1, p2, p3) else greatest(p1, p2, p3, p4) end parent_pos
@@ -159,7 +159,7 @@ _LEVEL = _LINE + r""", lv as (select *, case when length(line) < 15 then 1 when
 _LABEL = ", lab(section, priority, label) as (values " + ", ".join(
     f"('{s}', {k}, '{lab.upper().replace(chr(39), chr(39) * 2)}')" for k, (s, labs) in enumerate(od.SECTIONS.items()) for lab in labs) + ")"
 _NUM = r"regexp_extract(line, '^(?:[\pL\pN_]+\.)([^\n]+)', 1)"
-_STRIPPED = rf"case when {_NUM} <> '' then regexp_replace({_NUM}, '^\s+|\s+$', '', 'g') else line end"
+_STRIPPED = rf"case when {_NUM} <> '' then regexp_replace({_NUM}, '^[{fn.BLANK}]+|[{fn.BLANK}]+$', '', 'g') else line end"
 _JUDGE = r"""with line as (select id, regexp_replace(replace(replace(replace(replace(name || ', ' || coalesce(role, ''), 'President', ''), ' Registrar', ''), 'judges', ''), ',', ''), '^\s+|\s+$', '', 'g') line
     from decisionbodymember where name is not null),
   j as (select distinct respondent country, regexp_replace(string_split(docname, ' v. ')[1], '^CASE OF ', '') as name from leading_case union
@@ -184,7 +184,7 @@ ORACLES = {
         select a.n, a.gram, any_value(a.cnt) - coalesce(sum(case when contains(b.gram, '_' || a.gram) then 1 else 0 end + case when contains(b.gram, '_' || a.gram || '_') then 1 else 0 end
           + case when contains(b.gram, a.gram || '_') then 1 else 0 end), 0) as count from top a left join top b on b.n = a.n + 1 group by a.n, a.gram""",
     "normalised_documents": _CLEAN + """ select doc_id, len(w) + greatest(len(w) - 1, 0) + greatest(len(w) - 2, 0) + greatest(len(w) - 3, 0) n, w[1] as first,
-        array_to_string(w[greatest(len(w) - 3, 1):], '_') as last from w where len(w) >= 4 or len(w) = 0
+        nullif(array_to_string(w[greatest(len(w) - 3, 1):], '_'), '') as last from w where len(w) >= 4 or len(w) = 0
         union all select doc_id, (len(w) * (len(w) + 1)) // 2, w[1], array_to_string(w, '_') from w where len(w) between 1 and 3""",
     "vocab_topk": _VOC + " select token, n, token_id from voc",
     "bow": _VOC + " select doc_id, token_id, tf from b",
@@ -203,6 +203,13 @@ ORACLES = {
     "judge_rejects": _match_sql(_JUDGE) + " select id, line from line where id not in (select id from hit)",
 }
 
+ORACLES["gazetteer_match"] = _D + r""", e as (select distinct upper(c[1]) || lower(c[2:]) entry from (
+    select min(trim(string_split(docname, ' v. ')[2])) c from leading_case group by respondent)),
+  s as (select doc_id, text, entry, string_split(text, entry) a from d join e on contains(text, entry)),
+  p as (select doc_id, text, entry, a, unnest(range(1, len(a))) k from s),
+  q as (select doc_id, text, entry, (list_sum(list_transform(a[1:k], lambda x: length(x))) + (k - 1) * length(entry))::int as start from p)
+  select doc_id, entry, start, len(regexp_split_to_array(text[1:start], '\r\n|\n|\r')) - 1 line from q"""
+
 QUERIES = {
     f.__name__: f
     for f in (
