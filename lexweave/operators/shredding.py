@@ -10,7 +10,7 @@ has an entry, the entry is an object (or value). An entry's repetition level
 is the depth of the list that it continues, 0 where it starts a record.
 
 The tree of ``judgment`` is recursive, so its columns are as deep as the
-record: ``judgment``, ``judgment.elements``, ``judgment.elements.elements``.
+record: ``judgment``, ``judgment.elements*1``, ``judgment.elements*2`` and so on.
 
 Defined results: null, blank or unreadable JSON, and JSON of another shape,
 has no node. One object in place of a list is a list of one. Null entries and
@@ -153,7 +153,7 @@ def shred_tree(
             entries.append((depth, rep, level, None))
     deepest = max((d for d, *_ in entries), default=0)
     for d in range(deepest + 1):
-        depth_of.append(path + f".{child}" * d)
+        depth_of.append(f"{path}.{child}*{d}" if d else path)
         for leaf in leaves:
             columns[f"{depth_of[d]}.{leaf}"] = ([], [], [])
     for depth, rep, level, node in entries:
@@ -249,7 +249,7 @@ def _nodes(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
             root, *members = path.split(".")
             rep, level = list(rep), list(level)
             if root == "judgment":
-                found = assemble(root, rep, level, len(members))
+                found = assemble(root, rep, level, 1 + int(members[0].partition("*")[2] or 0))
                 rows.extend((record, "node", a, b, leaf[k]) for a, b, k in found)
             elif members == ["element"]:
                 rows.extend((record, "conclusion", a, b, leaf[k]) for a, b, k in assemble(root, rep, level, 1))
@@ -263,7 +263,7 @@ def _nodes(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
 def nodes(shredded: DataFrame, key: str = "record_no") -> DataFrame:
     """(key, kind, parent_path, child_path, value): the flat tables, tied to their parents by path."""
     kind = dict(shredded.dtypes)[key]
-    wanted = F.col("path").rlike(r"^judgment.*\.content$|^conclusions\.(element|details|mentions)$")
+    wanted = F.col("path").rlike(r"^judgment(\.elements\*[0-9]+)?\.content$|^conclusions\.(element|details|mentions)$")
     return shredded.where(wanted).mapInPandas(
         lambda b: _nodes(b, key), f"{key} {kind}, kind string, parent_path string, child_path string, value string"
     )
