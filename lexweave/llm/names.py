@@ -79,6 +79,11 @@ _FULL: dict[str, frozenset[str]] = {}
 for _name, _short in NICKNAMES.items():
     for _form in [_name, *_short.split()]:
         _FULL[_form] = _FULL.get(_form, frozenset()) | {_name}
+# Initials that one pet form may stand for are one class, named after its first letter.
+_CLASS_OF = {c: c for c in "abcdefghijklmnopqrstuvwxyz"}
+for _names in _FULL.values():
+    _initials = {_CLASS_OF[n[0]] for n in _names}
+    _CLASS_OF = {c: min(_initials) if k in _initials else k for c, k in _CLASS_OF.items()}
 _TRADE = {form: word for word, short in TRADES.items() for form in [word, *short.replace("'", "").split()]}
 _FORM = {re.sub(r"[.']", "", form): word for word, short in FORMS.items() for form in [word, *short.split()]}
 
@@ -457,9 +462,10 @@ def link_names(tables: dict[str, DataFrame], large: int = LARGE) -> DataFrame:
     )
     sizes = placed.groupBy("head").agg(F.count("*").alias("size")).where(F.col("size") > large)
     # At most one in `large` profiles' families can be large, so the optimiser decides how to join.
-    placed = placed.join(sizes, "head", "left").withColumn(
-        "part", F.when(F.col("size").isNotNull(), F.substring("given", 1, 1)).otherwise("")
-    )
+    # Accepted pairs agree in the class of their initial, those of organisations in their trade.
+    initial = F.translate(F.substring("given", 1, 1), "".join(_CLASS_OF), "".join(_CLASS_OF.values()))
+    part = F.when(F.col("kind") == "org", F.col("trade")).otherwise(initial)
+    placed = placed.join(sizes, "head", "left").withColumn("part", F.when(F.col("size").isNotNull(), part).otherwise(""))
     bucket = F.pmod(F.xxhash64("head", "part"), F.lit(count)).alias("bucket")
     accepted = durable(placed.groupBy(bucket).applyInPandas(_decide_bucket, "a bigint, b bigint"))
     clusters = components(accepted)
