@@ -83,7 +83,88 @@ with number as (
 )
 """.replace("{src}", "cases_info")
 
+_MONTHS = [(name, n) for n, names in timestamps.MONTHS.items() for name in names]
+_ZONES = ", ".join(f"('{z}', {m})" for z, m in timestamps.ZONES.items())
+_P6 = r"""
+with mon(word, m) as (values __MONTHS__), zone(z, off) as (values __ZONES__), raw as (
+  __FIELDS__
+), t as (
+  select record_id, field, v, coalesce(nullif(regexp_extract(v, '\d:\d{2}(?:\.\d+)? ?([+-]\d{2}:?\d{2})$', 1), ''), nullif(regexp_extract(v, '(?:\d|\s)([A-Z]{1,4})$', 1), '')) as tail,
+    regexp_extract(v, '(?:[T ]|à )(\d{1,2})[:h](\d{2})(?::(\d{2}))?(?:\.(\d+))?', ['h', 'mi', 's', 'f']) clock,
+    regexp_extract(v, '^\d{8}T(\d{2})(\d{2})(\d{2})$', ['h', 'mi', 's']) packed,
+    case when regexp_matches(v, '[AP]M$') then right(v, 2) end half,
+    case when regexp_matches(v, '^\d{4}[-/]\d{2}[-/]\d{2}') then [v[1:4], v[6:7], v[9:10]]
+         when regexp_matches(v, '^\d{1,2}/\d{1,2}/\d{4}') then
+           case when field = 'kpdate' then [regexp_extract(v, '^\d+/\d+/(\d{4})', 1), regexp_extract(v, '^(\d+)/', 1), regexp_extract(v, '^\d+/(\d+)/', 1)]
+                else [regexp_extract(v, '^\d+/\d+/(\d{4})', 1), regexp_extract(v, '^\d+/(\d+)/', 1), regexp_extract(v, '^(\d+)/', 1)] end
+         when regexp_matches(v, '^\d{1,2}\.\d{1,2}\.(\d{4}|\d{2})$') then [string_split(v, '.')[3], string_split(v, '.')[2], string_split(v, '.')[1]]
+         when regexp_matches(v, '^\d{8}(T\d{6})?$') then [v[1:4], v[5:6], v[7:8]] end nums,
+    regexp_extract(v, '^(?:\pL+, )?(\d{1,2})(?:er|\.)?[ -](\pL+)\.?[ -](\d{4})', ['d', 'w', 'y']) dmy,
+    regexp_extract(v, '^(\pL+) (\d{1,2}), (\d{4})$', ['w', 'd', 'y']) mdy,
+    case when regexp_matches(v, '^\d{9,10}$') then v::bigint * 1000 when regexp_matches(v, '^\d{11,13}$') then v::bigint end epoch
+  from raw where v <> ''
+), c as (
+  select t.*, coalesce(nums, case when dmy.w <> '' then [dmy.y, (select max(m)::varchar from mon where word = strip_accents(lower(dmy.w))), dmy.d]
+      when mdy.w <> '' then [mdy.y, (select max(m)::varchar from mon where word = strip_accents(lower(mdy.w))), mdy.d] end) ymd,
+    coalesce(nullif(packed.h, ''), nullif(clock.h, ''), '0')::int hh, coalesce(nullif(packed.mi, ''), nullif(clock.mi, ''), '0') mm,
+    coalesce(nullif(packed.s, ''), nullif(clock.s, ''), '0') ss, rpad(left(clock.f, 3), 3, '0')::int ms
+  from t
+), w as (
+  select record_id, field, epoch, case when half is null and tail is not null then tail end tail, ms,
+    try_cast(lpad(case when length(ymd[1]) = 2 then case when ymd[1]::int >= 50 then '19' else '20' end || ymd[1] else ymd[1] end, 4, '0') || '-' || lpad(ymd[2], 2, '0')
+      || '-' || lpad(ymd[3], 2, '0') || ' ' || lpad((case half when 'AM' then hh % 12 when 'PM' then hh % 12 + 12 else hh end)::varchar, 2, '0') || ':' || mm || ':' || lpad(ss, 2, '0') as timestamp) wall
+  from c
+), i as (
+  select record_id, field, ms, epoch, wall,
+    case when tail is null then null when regexp_matches(tail, '^[+-]') then (case when tail[1] = '-' then -1 else 1 end) * (substr(tail, 2, 2)::int * 60 + right(tail, 2)::int)
+         else (select max(off) from zone where z = tail) end as off, tail,
+    epoch_ms(timezone('Europe/Paris', wall)) last_pass from w
+), u as (
+  select record_id, field, coalesce(epoch, case
+    when tail is not null then epoch_ms(wall) - off * 60000 + ms
+    when timezone('Europe/Paris', make_timestamptz((last_pass - 3600000) * 1000)) = wall then last_pass - 3600000 + ms
+    else last_pass + ms end) at_ms from i
+)
+select record_id, field, strftime(make_timestamp(at_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') utc from u where at_ms is not null
+""".replace("__MONTHS__", ", ".join(f"('{w}', {n})" for w, n in _MONTHS)).replace("__ZONES__", _ZONES).replace(
+    "__FIELDS__",
+    " union all ".join(f"select record_id, '{f}' field, trim({f}) v from cases_info" for f in ("decisiondate", "judgementdate", "kpdate", "introductiondate")),
+)
+
+_P1 = """
+with recursive un(record_no, j, k) as (
+  select record_no, case when json_valid(judgment) then judgment::json end, 0 from case_judgment
+  union all
+  select record_no, case
+      when json_type(j) = 'VARCHAR' then case when json_valid(j->>'$') then (j->>'$')::json end
+      when json_type(j, '$.content') in ('OBJECT', 'ARRAY') and not json_exists(j, '$.elements') then j->'$.content'
+      else json_extract(j, '$."' || json_keys(j)[1] || '"') end, k + 1
+  from un where j is not null and (json_type(j) = 'VARCHAR' or json_type(j) = 'OBJECT' and (
+    json_type(j, '$.content') in ('OBJECT', 'ARRAY') and not json_exists(j, '$.elements')
+    or len(list_intersect(json_keys(j), ['content', 'elements', 'section_name', 'level', 'node_type', 'attributes'])) = 0 and len(json_keys(j)) > 0))
+), top as (
+  select record_no, case json_type(j) when 'OBJECT' then [j] when 'ARRAY' then from_json(j, '["json"]') end a from un
+  qualify k = max(k) over (partition by record_no)
+), node(record_no, parent_path, child_path, j) as (
+  select record_no, 'judgment', 'judgment.' || i, x from (select record_no, unnest(a) x, generate_subscripts(a, 1) - 1 i from top where a is not null)
+  where json_type(x) = 'OBJECT'
+  union all
+  select record_no, child_path, child_path || '.' || i, x from (
+    select record_no, child_path, unnest(b) x, generate_subscripts(b, 1) - 1 i from (
+      select record_no, child_path, case json_type(j, '$.elements') when 'OBJECT' then [j->'$.elements'] when 'ARRAY' then from_json(j->'$.elements', '["json"]') end b from node) where b is not null)
+  where json_type(x) = 'OBJECT'
+), con as (
+  select record_no, unnest(conclusions) c, generate_subscripts(conclusions, 1) - 1 k from case_judgment
+)
+select record_no, parent_path, child_path from node
+union all select record_no, 'conclusions', 'conclusions.' || k from con where c is not null
+union all select record_no, 'conclusions.' || k, 'conclusions.' || k || '.details.' || i from (select record_no, k, unnest(c.details) x, generate_subscripts(c.details, 1) - 1 i from con) where x is not null
+union all select record_no, 'conclusions.' || k, 'conclusions.' || k || '.mentions.' || i from (select record_no, k, unnest(c.mentions) x, generate_subscripts(c.mentions, 1) - 1 i from con) where x is not null
+"""
+
 ORACLES = {
+    "p1_found": _P1,
+    "p6_found": _P6,
     "p5_found": _P5 + "select tbl, ref_id, appno, reason from orphan where reason is not null",
     "p5_by_month": _P5
     + "select tbl, month, reason, count(*) n from orphan where reason is not null group by all",
