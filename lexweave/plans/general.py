@@ -131,6 +131,27 @@ select record_id, field, strftime(make_timestamp(at_ms * 1000), '%Y-%m-%dT%H:%M:
     " union all ".join(f"select record_id, '{f}' field, trim({f}) v from cases_info" for f in ("decisiondate", "judgementdate", "kpdate", "introductiondate")),
 )
 
+
+
+def _packed_sql(field: str, seps: str, words: str = "''") -> str:
+    """Items by one pattern: a quoted item up to its separator, else a run without separators."""
+    quoted = r""""(?:[^"]|"")*"|“[^”]*”|«[^»]*»"""
+    pattern = rf"[ \t\r\n\x{{a0}}]*(?:{quoted})[ \t\r\n\x{{a0}}]*(?:[{seps}]|$)|[^{seps}]+"
+    ends = rf"^[{seps}\s\x{{a0}}]+|[{seps}\s\x{{a0}}]+$"
+    return rf"""select record_id, '{field}' field, list_filter(list_transform(list_filter(list_transform(regexp_extract_all({field}, '{pattern}'),
+        lambda x: regexp_replace(x, '{ends}', '', 'g')), lambda y: lower(y) not in ({words})),
+      lambda y: trim(case when length(y) > 1 and y[1] = '"' and y[-1] = '"' then replace(y[2:-2], '""', '"')
+        when (y[1] = '“' and y[-1] = '”') or (y[1] = '«' and y[-1] = '»') then y[2:-2] else y end, ' ' || chr(9) || chr(160))), lambda z: z <> '') items
+      from cases_info where {field} is not null"""
+
+
+_P3 = "with f as (" + " union all ".join(
+    [
+        _packed_sql("kpthesaurus", r";,| \t\r\n"), _packed_sql("scl", r";|\t\r\n"),
+        _packed_sql("respondent", r";,|/&+ \t\r\n", "'and', 'et', 'und'"), _packed_sql("applicability", r";,|/\t\r\n"),
+    ]
+) + ") select record_id, field, generate_subscripts(items, 1) as pos, unnest(items) item from f"
+
 _P1 = """
 with recursive un(record_no, j, k) as (
   select record_no, case when json_valid(judgment) then judgment::json end, 0 from case_judgment
@@ -164,6 +185,7 @@ union all select record_no, 'conclusions.' || k, 'conclusions.' || k || '.mentio
 
 ORACLES = {
     "p1_found": _P1,
+    "p3_found": _P3,
     "p6_found": _P6,
     "p5_found": _P5 + "select tbl, ref_id, appno, reason from orphan where reason is not null",
     "p5_by_month": _P5
