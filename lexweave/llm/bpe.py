@@ -34,6 +34,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 #: Where the vocabulary files of public tokenizers lie; a parameter, nothing is copied from there.
 VOCABULARIES = os.environ.get("LEXWEAVE_TOKENIZERS", "/opt/tokenizers")
 #: The pattern that cuts text before the merges.
@@ -241,7 +243,7 @@ def encode_texts(
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[key, "ids"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>")
+    return spread(docs.select(key, text)).mapInArrow(run, f"{key} {kind}, ids array<int>")
 
 
 def count_tokens(
@@ -258,4 +260,4 @@ def count_tokens(
             sizes = pa.array([len(encoder.encode(t)) for t in batch.column(at).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, sizes], names=[*batch.schema.names, column])
 
-    return docs.mapInArrow(run, schema)
+    return spread(docs).mapInArrow(run, schema)

@@ -31,6 +31,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..session import spread
 from .bktree import BKTree, Shards
 
 LIMIT = 10_000
@@ -357,4 +358,4 @@ def map_to_list(df: DataFrame, reference: DataFrame, key: str = "id", limit: int
             codes = [matcher.best(e, a, b) for e, a, b in zip(batch["element"], batch["article"], batch["base_article"])]
             yield pd.DataFrame({key: batch[key], "code": codes})
 
-    return df.select(key, "element", "article", "base_article").mapInPandas(run, f"{key} {kind}, code string")
+    return spread(df.select(key, "element", "article", "base_article")).mapInPandas(run, f"{key} {kind}, code string")

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import durable, spread
 
 SPAN = 300
 PHRASE = 160
@@ -135,7 +135,7 @@ def _phrase_rows(docs: DataFrame, span: int, phrase: int) -> DataFrame:
                 )
                 at = end
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, pos int, h bigint")
+    return spread(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, pos int, h bigint")
 
 
 def _passages(docs: DataFrame, span: int, phrase: int) -> DataFrame:
