@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
+from ..session import durable
 
 
 def token_counts(docs: DataFrame, column: str = "tokens") -> DataFrame:
@@ -49,11 +50,13 @@ def tfidf(bow: DataFrame, n_docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
     ``n_docs`` is a one-row frame (n): the number of documents.
     """
+    bow = durable(bow)  # read twice below; the texts are cut into tokens once
     df = bow.groupBy("token_id").agg(F.count("*").alias("df"))
     raw = bow.join(F.broadcast(df), "token_id").crossJoin(F.broadcast(n_docs))
     raw = raw.withColumn("w", F.col("tf") * F.log2(F.col("n") / F.col("df"))).where(F.abs("w") > 1e-12)
-    norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, key).select(key, "token_id", (F.col("w") / F.col("norm")).alias("w"))
+    # A document has no more rows than the vocabulary, so a window holds little.
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return raw.select(key, "token_id", (F.col("w") / norm).alias("w"))
 
 
 def vector_lines(vectors: DataFrame, value: str, key: str = "doc_id", offset: int = 0) -> DataFrame:

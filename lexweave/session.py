@@ -45,6 +45,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its scan has fewer partitions than there are cores, as a small file has; else as it is.
+
+    For operators that compute much per row. A large input has partitions enough and isn't shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for durable intermediates: spark.checkpoint.dir where the cluster names one.
 
