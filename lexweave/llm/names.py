@@ -308,12 +308,21 @@ def _compare_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _heads(names: dict[str, int]) -> dict[str, str]:
-    """Each spelling's head: the most frequent spelling that it is like."""
+    """Each spelling's head: the nearest of the more frequent spellings that it may be a slip of.
+
+    A spelling that occurs often is hardly a slip of many letters, so it may
+    stand farther from its head the rarer it is.
+    """
     heads: dict[str, str] = {}
-    order = sorted(names, key=lambda f: (-names[f], f))
     centres: list[str] = []
-    for f in order:
-        near = [(slips(f, c), k, c) for k, c in enumerate(centres) if alike(f, c)]
+    for f in sorted(names, key=lambda f: (-names[f], f)):
+        most = 3 if names[f] == 1 else 2 if names[f] < 4 else 1
+        near = []
+        for k, c in enumerate(centres):
+            if alike(f, c):
+                d = min(slips(f, c), slips(_umlaut(f), _umlaut(c)))
+                if d <= most:
+                    near.append((d, k, c))
         heads[f] = min(near)[2] if near else f
         if not near:
             centres.append(f)
