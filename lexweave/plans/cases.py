@@ -285,6 +285,12 @@ ORACLES = {
         select base_article, count(*) filter (type = 'violation') violation, count(*) filter (type = 'no-violation') no_violation,
         count(*) filter (type = 'violation') / count(*)::double class_normalized, count(*) filter (type = 'violation') / (select n from s)::double violation_normalized,
         count(*) filter (type = 'no-violation') / (select n from s)::double no_violation_normalized from f group by base_article""",
+    "prevalence_first": _E + """ , okb as (select itemid from (select itemid, base_article, count(distinct type) n from e where type <> 'other' and base_article is not null group by all) group by itemid having max(n) = 1),
+        g as (select * from e where type <> 'other' and base_article is not null and itemid in (select itemid from okb)), s as (select count(distinct itemid) n from g),
+        f as (select itemid, arg_min({'b': base_article, 't': type}, {'p': pos, 'a': article}) x from g group by itemid)
+        select x.b base_article, count(*) filter (x.t = 'violation') violation, count(*) filter (x.t = 'no-violation') no_violation,
+        count(*) filter (x.t = 'violation') / count(*)::double class_normalized, count(*) filter (x.t = 'violation') / (select n from s)::double violation_normalized,
+        count(*) filter (x.t = 'no-violation') / (select n from s)::double no_violation_normalized from f group by x.b""",
     "country_lookup": _C + _COUNTRY + " select itemid, alpha3, country from r join d using (alpha3)",
     "country_missing": _C + _COUNTRY + " select itemid, alpha3 from r where alpha3 is null or alpha3 not in (select alpha3 from d)",
     "body_lookup": _C + " , b(originatingbody, body_type, body_name) as (values " + ", ".join(
