@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 #: A key is heavy from this share of all references on: at most 1 / HEAVY keys can be.
 HEAVY = 0.001
 _SLASH = "[/∕⁄／]"
@@ -81,7 +83,8 @@ def case_states(cases: DataFrame, leading: DataFrame) -> DataFrame:
 def orphans(refs: DataFrame, states: DataFrame, heavy: float = HEAVY) -> DataFrame:
     """(tbl, ref_id, appno, month, reason) of the references that no standing record met at load time."""
     month = F.date_format("loaded_at", "yyyy-MM")
-    refs = refs.withColumn("month", month)
+    # Both are read more than once below: the patterns run once, and lineage ends here.
+    refs, states = durable(refs.withColumn("month", month)), durable(states)
     counts = refs.groupBy("appno", "month").agg(F.count("*").alias("n"))
     per_key = counts.groupBy("appno").agg(F.sum("n").alias("n"))
     total = per_key.agg(F.sum("n").alias("total"))
