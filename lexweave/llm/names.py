@@ -5,10 +5,10 @@
    organisation (told by words of trade or legal form) a core, a trade and a
    form, with abbreviations undone. Equal readings are pre-aggregated to one
    profile, so many rows of one spelling are one node.
-2. Blocking. Family names and cores are blocked by phonetic codes (consonant
-   classes of the sorted tokens) with up to two classes left out, so that slips
-   keep a code in common. Inside a block they are compared by Jaro-Winkler and
-   edit distance; connected components of what is alike are families.
+2. Blocking. Family names and cores (their sorted tokens) are blocked by what is
+   left of their letters without as many as slips are allowed, so that any two
+   that are alike have a block in common. Inside a block they are compared by
+   Jaro-Winkler and edit distance; connected components of what is alike are families.
 3. Deciding. Inside a family, given names are compared by Jaro-Winkler, edit
    distance and the nickname table. A full given name decides; an initial, a
    nickname of two names or a missing country goes to the one person it fits,
@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import durable, spread
 from .bktree import distance
 from .components import components
 
@@ -74,6 +74,8 @@ FORMS = {
 _FILLERS = {"the", "and", "house", "of", "&"}
 #: Profiles of a family from which it is split by initials.
 LARGE = 20_000
+#: Letters above which a name is blocked by its parts.
+LONG = 21
 
 _FULL: dict[str, frozenset[str]] = {}
 for _name, _short in NICKNAMES.items():
@@ -149,7 +151,7 @@ def alike(a: str, b: str) -> bool:
     short = min(len(a), len(b))
     if short < 4 or abs(len(a) - len(b)) > 3:
         return False
-    allowed = 1 if short < 7 else 2 if short < 9 else 3
+    allowed = _allowed(short)
     for x, y in {(a, b), (_umlaut(a), _umlaut(b))}:
         n = slips(x, y)
         if n <= allowed and jaro_winkler(x, y) >= (0.72 if n == 1 and short > 5 else 0.86):
@@ -244,31 +246,30 @@ def read(name: str | None) -> tuple[str, str, str, str, str] | None:
     return "person", " ".join(sorted(family)), given, middle[:1], ""
 
 
-# Classes of consonants that sound alike.
-_CLASSES = {c: str(k) for k, group in enumerate(["bp", "fvw", "cgkq", "jsxz", "dt", "l", "mn", "r"], 1) for c in group}
-
-
-def phonetic(words: str) -> str:
-    """Consonant classes of the sorted tokens, repeated ones once; the letters themselves where they are few."""
-    out: list[str] = []
-    for word in sorted(words.split()):
-        last = ""
-        for c in word:
-            k = _CLASSES.get(c, "")
-            if k and k != last:
-                out.append(k)
-            last = k or last if c in "h" else k
-    code = "".join(out)
-    return code if len(code) >= 5 else re.sub(r"(.)\1+", r"\1", words.replace(" ", ""))
+def _allowed(size: int) -> int:
+    """Slips that two names may be apart of which the shorter has so many letters."""
+    return 0 if size < 4 else 1 if size < 7 else 2 if size < 9 else 3
 
 
 def block_keys(words: str) -> set[str]:
-    """The phonetic code with none, one and two of its classes left out."""
-    code = phonetic(words)
-    keys = {code}
-    for n in (1, 2):
-        if len(code) - n >= 3:
-            keys.update("".join(c for i, c in enumerate(code) if i not in gone) for gone in combinations(range(len(code)), n))
+    """Keys of which any two names that are ``alike`` have one in common.
+
+    Of a name and of its form without umlauts, all that is left when up to as many
+    letters go as it may have slips: names k slips apart have a text in common that
+    lacks at most k letters of either. In a long name, three slips touch at most
+    six of seven parts, so one part stands in the other name, at most three
+    letters away: its keys are such parts, whose number doesn't grow with the name.
+    """
+    keys = {words}
+    for form in {words, _umlaut(words)}:
+        n, gone = len(form), _allowed(len(words))
+        if n <= LONG + 3:
+            for k in range(gone + 1):
+                keys.update(map("".join, combinations(form, max(n - k, 0))))
+        for size in range(max(LONG + 1, n - 3), n + 1):  # lengths of the shorter name
+            for i in range(7):
+                start, end = i * size // 7, (i + 1) * size // 7
+                keys.update(f"{size}.{i}.{form[start + d : end + d]}" for d in range(-3, 4) if 0 <= start + d and end + d <= n)
     return keys
 
 
@@ -288,23 +289,18 @@ def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _key_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(t, k, f, n, key) for t, k, f, n in zip(batch["tbl"], batch["kind"], batch["family"], batch["n"]) for key in block_keys(f)]
-        yield pd.DataFrame(rows, columns=["tbl", "kind", "family", "n", "key"])
+        for k in range(0, len(batch), 500):
+            part = batch.iloc[k : k + 500]
+            yield part.assign(keys=[sorted(block_keys(f)) for f in part["family"]])
 
 
-def _compare_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of alike family names in each block of a bucket: each name goes to the more frequent ones that it is like."""
-    out = set()
-    for (tbl, kind, _), block in pdf.groupby(["tbl", "kind", "key"], sort=False):
-        if len(block) < 2:
-            continue
-        names = sorted(zip(block["n"], block["family"]), key=lambda x: (-x[0], x[1]))
-        by_size: dict[int, list[str]] = defaultdict(list)
-        for _, f in names:
-            for size in range(len(f) - 3, len(f) + 4):
-                out.update((tbl, kind, f, g) for g in by_size[size] if alike(f, g))
-            by_size[len(f)].append(f)
-    return pd.DataFrame(sorted(out), columns=["tbl", "kind", "fa", "fb"])
+def _compare_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of alike family names in each block."""
+    for batch in batches:
+        out = set()
+        for tbl, kind, block in zip(batch["tbl"], batch["kind"], batch["families"]):
+            out.update((tbl, kind, f, g) for f, g in combinations(sorted(block), 2) if alike(f, g))
+        yield pd.DataFrame(sorted(out), columns=["tbl", "kind", "fa", "fb"])
 
 
 def _heads(names: dict[str, int]) -> dict[str, str]:
@@ -453,11 +449,12 @@ def link_names(tables: dict[str, DataFrame], large: int = LARGE) -> DataFrame:
     rows = durable(every.mapInPandas(_read_batches, _PROFILE).withColumn("pid", F.xxhash64(*fields)))
     profiles = rows.groupBy("pid", *fields).agg(F.count("*").alias("n"))
 
-    names = profiles.groupBy("tbl", "kind", "family").agg(F.sum("n").alias("n"))
-    keyed = durable(names.mapInPandas(_key_batches, "tbl string, kind string, family string, n bigint, key string"))
-    count = _buckets(keyed)
-    bucket = F.pmod(F.xxhash64("tbl", "kind", "key"), F.lit(count)).alias("bucket")
-    near = keyed.groupBy(bucket).applyInPandas(_compare_blocks, "tbl string, kind string, fa string, fb string")
+    names = profiles.select("tbl", "kind", "family").distinct()
+    count = _buckets(rows, 2_000)
+    keyed = spread(names).mapInPandas(_key_batches, "tbl string, kind string, family string, keys array<string>")
+    hashed = keyed.select("tbl", "kind", "family", F.explode("keys").alias("key")).withColumn("key", F.xxhash64("key"))
+    blocks = hashed.groupBy("tbl", "kind", "key").agg(F.sort_array(F.collect_set("family")).alias("families")).where(F.size("families") > 1)
+    near = blocks.select("tbl", "kind", "families").distinct().mapInPandas(_compare_blocks, "tbl string, kind string, fa string, fb string")
 
     def node(family: str):
         return F.concat_ws("\u0001", "tbl", "kind", family)

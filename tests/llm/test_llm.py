@@ -185,6 +185,25 @@ def test_names(spark):
     assert names.name_pairs(names.link_names({"t": df.limit(0)})).count() == 0
 
 
+def test_alike_names_share_a_block():
+    rng = random.Random(5)
+
+    def slip(w):
+        i, c = rng.randrange(len(w)), rng.choice("abdeghkoprtuvz")
+        return rng.choice([w[:i] + c + w[i:], w[:i] + w[i + 1 :], w[:i] + c + w[i + 1 :], w[:i] + w[i + 1 : i + 2] + w[i] + w[i + 2 :]])
+
+    pairs = {("gotapavar", "gotapaar"), ("x" * 400, "x" * 399 + "y")}
+    for size in [*range(4, 32)] * 40:
+        a = "".join(rng.choice("bdghkprtvz") + rng.choice("aeiou") for _ in range(size))[:size]
+        b = a
+        for _ in range(rng.randint(1, 3)):
+            b = slip(b)
+        pairs |= {(a, b), (a[: size // 2] + "ue" + a[size // 2 :], b)}
+    found = [p for p in pairs if names.alike(*p)]
+    assert len(found) > 800 and max(len(a) for a, _ in found) > 30
+    assert [p for p in found if not names.block_keys(p[0]) & names.block_keys(p[1])] == []
+
+
 def test_reading_names():
     assert names.read("HEGIDIRNEN, Jake P.") == ("person", "hegidirnen", "jacob", "p", "")
     assert names.read('"Bruhuzavar" Intl. Trade S. A.') == ("org", "bruhuzavar", "sa", "", "international trade")
