@@ -306,18 +306,19 @@ def _compare_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _heads(names: dict[str, int]) -> dict[str, str]:
     """Each spelling's head: the nearest of the more frequent spellings that it may be a slip of.
 
-    A spelling that occurs often is hardly a slip of many letters, so it may
-    stand farther from its head the rarer it is.
+    ``names`` counts distinct profiles, so repeated rows change nothing. What
+    counts is how often a spelling recurs beside its head: one that recurs nearly
+    as often is hardly a slip of many letters, and one that doesn't recur may be.
     """
     heads: dict[str, str] = {}
     centres: list[str] = []
     for f in sorted(names, key=lambda f: (-names[f], f)):
-        most = 3 if names[f] == 1 else 2 if names[f] < 4 else 1
+        again = names[f] - 1
         near = []
         for k, c in enumerate(centres):
             if alike(f, c):
                 d = min(slips(f, c), slips(_umlaut(f), _umlaut(c)))
-                if d <= most:
+                if d <= (3 if 16 * again <= names[c] else 2 if 2 * again <= names[c] else 1):
                     near.append((d, k, c))
         heads[f] = min(near)[2] if near else f
         if not near:
@@ -328,8 +329,8 @@ def _heads(names: dict[str, int]) -> dict[str, str]:
 def decide(rows: list[tuple[int, str, str, str, str, str, int]], kind: str) -> list[tuple[int, int]]:
     """Accepted pairs among the profiles (pid, family, given, middle, trade, country, n) of one family."""
     counts: dict[str, int] = defaultdict(int)
-    for _, family, _, _, _, _, n in rows:
-        counts[family] += n
+    for row in rows:
+        counts[row[1]] += 1
     heads = _heads(counts)
     pairs: list[tuple[int, int]] = []
     groups: dict[tuple, list[tuple]] = defaultdict(list)

@@ -204,6 +204,17 @@ def test_alike_names_share_a_block():
     assert [p for p in found if not names.block_keys(p[0]) & names.block_keys(p[1])] == []
 
 
+def test_repeated_rows_and_larger_inputs_decide_alike():
+    head, far = "krehurunren", "kreuhrunern"
+    assert names.alike(head, far) and names.slips(head, far) == 2
+    for n in (1, 3, 4, 400):
+        rows = [(1, head, "dmitri", "", "", "DLM", 400), (2, head, "daniel", "", "", "KES", 1), (3, far, "dmitri", "", "", "DLM", n)]
+        assert names.decide(rows, "person") == [(1, 3)]
+    for times in (1, 10, 1000):
+        assert names._heads({head: 40 * times, far: 4 * times})[far] == head
+        assert names._heads({head: 40 * times, far: 39 * times})[far] == far
+
+
 def test_reading_names():
     assert names.read("HEGIDIRNEN, Jake P.") == ("person", "hegidirnen", "jacob", "p", "")
     assert names.read('"Bruhuzavar" Intl. Trade S. A.') == ("org", "bruhuzavar", "sa", "", "international trade")
