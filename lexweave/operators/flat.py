@@ -44,15 +44,25 @@ def count_pivot(rows: DataFrame, key: str, value: str, values: list[str], prefix
     return rows.groupBy(key).agg(*sums)
 
 
+def values_of(rows: DataFrame, column: str, limit: int = 1_000) -> list[str]:
+    """The distinct values of a column in the order of their text, for a pivot; refused above a bound."""
+    found = [r[0] for r in rows.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()]
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} values of {column}")
+    return sorted(found)
+
+
 def ternary(elements: DataFrame, key: str, articles: list[str]) -> DataFrame:
     """A column ``ccl_article=a`` per article: 1 violation, -1 another finding on it, 0 none; the last finding counts."""
 
+    sign = F.when(F.col("type") == "violation", 1).otherwise(-1)
+    last = elements.groupBy(key, "article").agg(F.max_by(sign, F.struct("at", "k")).alias("sign"))
+
     def cell(a: str) -> Column:
-        sign = F.when(F.col("type") == "violation", 1).otherwise(-1)
-        mine = F.col("article") == a
-        return F.coalesce(F.max_by(F.when(mine, sign), F.when(mine, F.struct("at", "k"))), F.lit(0)).alias(f"ccl_article={a}")
+        return F.coalesce(F.max(F.when(F.col("article") == a, F.col("sign"))), F.lit(0)).alias(f"ccl_article={a}")
 
-    return elements.groupBy(key).agg(*[cell(a) for a in articles])
+    cells = [cell(a) for a in articles]
+    return last.groupBy(key).agg(*cells) if cells else last.select(key).distinct()
 
 
 def edges(rows: DataFrame, source: str, values: Column) -> DataFrame:

@@ -8,11 +8,12 @@ from ..functions import cases as fn
 from ..operators import cases as oc
 from ..operators import datasets as ods
 from ..operators import flat, relational
-from ..session import table
+from ..session import durable, table
 from . import cases as pc
 
 _COLLECTIONS = ["CASELAW", "JUDGMENTS", "CHAMBER", "COMMITTEE", "GRANDCHAMBER", "ENG", "FRE", "GER"]
 _BRANCHES = ["CHAMBER", "COMMITTEE", "GRANDCHAMBER"]
+# The articles of the SQL; the query has a column for every article found.
 _ARTICLES = ["2", "3", "5-1-a", "8", "10", "13", "p1-1", "p4-2", "p7-1-1"]
 
 
@@ -169,7 +170,8 @@ def onehot_scalar(spark, sf_dir):
 
 
 def ternary_matrix(spark, sf_dir):
-    return flat.ternary(pc._elements(spark, sf_dir).where("article is not null"), "itemid", _ARTICLES)
+    elements = durable(pc._elements(spark, sf_dir).where("article is not null").select("itemid", "at", "k", "type", "article"))
+    return flat.ternary(elements, "itemid", flat.values_of(elements, "article"))
 
 
 def citation_matrix(spark, sf_dir):

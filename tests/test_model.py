@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from lexweave.functions import text as ft
 from lexweave.operators import documents as od
 from lexweave.operators import features, flat, relational
-from lexweave.plans import workflow
+from lexweave.plans import model, workflow
 from lexweave.sources import files, lookups
 from lexweave.streaming.incremental import load_stream
 
 
+# Columns of a case that passes the filters.
+USABLE = {"languageisocode": "ENG", "doctype": "HEJUD", "fetched_at": 1, "record_id": 1}
+
+
 def test_dense_ids_are_a_total_order(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("v")).repartition(7)
     got = relational.dense_ids(df, ["v"]).orderBy("id").collect()
@@ -70,6 +74,20 @@ def test_ternary_and_counts(spark):
     assert got == {"a": (-1, 0), "b": (0, 1)}
 
 
+def test_ternary_has_a_column_for_every_article(spark, tmp_path):
+    rows = [("a", "Violation of Art. 3;No violation of Art. 14"), ("b", "Violation of Art. 18")]
+    df = spark.createDataFrame(rows, "itemid string, conclusion string")
+    fields = [F.lit(v).alias(k) for k, v in USABLE.items()]
+    df.select("*", *fields).write.parquet(f"{tmp_path}/cases_info.parquet")
+    got = {r["itemid"]: r.asDict() for r in model.ternary_matrix(spark, str(tmp_path)).collect()}
+    assert got == {
+        "a": {"itemid": "a", "ccl_article=14": -1, "ccl_article=18": 0, "ccl_article=3": 1},
+        "b": {"itemid": "b", "ccl_article=14": 0, "ccl_article=18": 1, "ccl_article=3": 0},
+    }
+    with pytest.raises(ValueError):
+        flat.values_of(df, "itemid", 1)
+
+
 def test_unique_or_reject_and_reload(spark):
     df = spark.createDataFrame([("a", "e1"), ("b", "e1"), ("c", None), ("d", None)], "itemid string, ecli string")
     kept, out = relational.unique_or_reject(df, "ecli", "itemid")
