@@ -126,7 +126,7 @@ def _judge_lines(spark, sf_dir):
     leading = table(spark, sf_dir, "leading_case")
     name = F.regexp_replace(F.split_part("docname", F.lit(" v. "), F.lit(1)), "^CASE OF ", "")
     judges = leading.select(F.col("respondent").alias("country"), name.alias("name")).distinct()
-    surnames = table(spark, sf_dir, "decisionbodymember").where("country = 'TVR' and name like '%,%'")
+    surnames = table(spark, sf_dir, "decisionbodymember").where("country is not null and name like '%,%'")
     more = surnames.select("country", F.trim(F.split_part("name", F.lit(","), F.lit(1))).alias("name")).distinct()
     return lines, judges.unionByName(more)
 

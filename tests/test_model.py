@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexweave.functions import text as ft
 from lexweave.operators import documents as od
 from lexweave.operators import features, flat, relational
-from lexweave.plans import model, workflow
+from lexweave.plans import model, texts, workflow
 from lexweave.sources import files, lookups
 from lexweave.streaming.incremental import load_stream
 
@@ -52,6 +52,16 @@ def test_judges(spark):
     assert od.unmatched(lines, judges).first()["id"] == 2
 
 
+def test_judges_of_every_country(spark, tmp_path):
+    rows = [(1, "Foo, Ann", "judge", "TVR"), (2, "Ann FOO", "judge", "KES"), (3, "Bar, Bob", "judge", "KES"), (4, "Bob BAR", "judge", None), (5, "Nobody", None, None)]
+    spark.createDataFrame(rows, "id int, name string, role string, country string").write.parquet(f"{tmp_path}/decisionbodymember.parquet")
+    spark.createDataFrame([], "respondent string, docname string").write.parquet(f"{tmp_path}/leading_case.parquet")
+    assert {(r["id"], r["judge"]) for r in texts.judge_match(spark, str(tmp_path)).collect()} == {(1, "Foo"), (2, "Foo"), (3, "Bar"), (4, "Bar")}
+    assert [r["id"] for r in texts.judge_rejects(spark, str(tmp_path)).collect()] == [5]
+    with pytest.raises(ValueError):
+        od.match_judges(*texts._judge_lines(spark, str(tmp_path)), limit=1)
+
+
 def test_tokens_and_ngrams(spark):
     df = spark.createDataFrame([("The Court's café, naïve naïve!",), ("",), (None,)], "t string")
     got = [r[0] for r in df.select(ft.clean_tokens(F.col("t"))).collect()]
