@@ -39,9 +39,11 @@ def domains(paths: DataFrame) -> DataFrame:
 
 
 def count_pivot(rows: DataFrame, key: str, value: str, values: list[str], prefix: str) -> DataFrame:
-    """A column ``prefix=value`` per given value: how often a key has it. Given values spare the job that looks for them."""
-    sums = [F.count(F.when(F.col(value) == v, 1)).alias(f"{prefix}={v}") for v in values]
-    return rows.groupBy(key).agg(*sums)
+    """A column ``prefix=value`` per given value: how often a key has it. A value that isn't given fails."""
+    lost = F.raise_error(F.concat(F.lit(f"no column {prefix}="), F.col(value))).cast("string")
+    rows = rows.select(key, F.when(F.col(value).isNull() | F.col(value).isin(values), F.col(value)).otherwise(lost).alias("_v"))
+    sums = [F.count(F.when(F.col("_v") == v, 1)).alias(f"{prefix}={v}") for v in values]
+    return rows.groupBy(key).agg(*sums) if sums else rows.select(key).distinct()
 
 
 def values_of(rows: DataFrame, column: str, limit: int = 1_000) -> list[str]:

@@ -11,6 +11,7 @@ from ..operators import flat, relational
 from ..session import durable, table
 from . import cases as pc
 
+# The columns of the SQL; the queries have one for every value.
 _COLLECTIONS = ["CASELAW", "JUDGMENTS", "CHAMBER", "COMMITTEE", "GRANDCHAMBER", "ENG", "FRE", "GER"]
 _BRANCHES = ["CHAMBER", "COMMITTEE", "GRANDCHAMBER"]
 # The articles of the SQL; the query has a column for every article found.
@@ -162,11 +163,12 @@ def type_mapping(spark, sf_dir):
 
 def onehot_list(spark, sf_dir):
     rows = _cases(spark, sf_dir).select("itemid", F.explode(fn.multi_value(F.col("documentcollectionid"))).alias("v"))
-    return flat.count_pivot(rows, "itemid", "v", _COLLECTIONS, "documentcollectionid")
+    return flat.count_pivot(rows, "itemid", "v", flat.values_of(rows, "v"), "documentcollectionid")
 
 
 def onehot_scalar(spark, sf_dir):
-    return flat.count_pivot(_cases(spark, sf_dir), "itemid", "doctypebranch", _BRANCHES, "doctypebranch")
+    cases = _cases(spark, sf_dir)
+    return flat.count_pivot(cases, "itemid", "doctypebranch", flat.values_of(cases, "doctypebranch"), "doctypebranch")
 
 
 def ternary_matrix(spark, sf_dir):

@@ -98,6 +98,16 @@ def test_ternary_has_a_column_for_every_article(spark, tmp_path):
         flat.values_of(df, "itemid", 1)
 
 
+def test_one_hot_has_a_column_for_every_value(spark, tmp_path):
+    df = spark.createDataFrame([("a", "CASELAW;KES", "NEW"), ("b", "KES", None)], "itemid string, documentcollectionid string, doctypebranch string")
+    df.select("*", *[F.lit(v).alias(k) for k, v in USABLE.items() if k not in df.columns]).write.parquet(f"{tmp_path}/cases_info.parquet")
+    got = {r["itemid"]: r.asDict() for r in model.onehot_list(spark, str(tmp_path)).collect()}
+    assert {k: v["documentcollectionid=KES"] for k, v in got.items()} == {"a": 1, "b": 1} and got["b"]["documentcollectionid=CASELAW"] == 0
+    assert {r["itemid"]: r["doctypebranch=NEW"] for r in model.onehot_scalar(spark, str(tmp_path)).collect()} == {"a": 1, "b": 0}
+    with pytest.raises(Exception, match="no column x=NEW"):
+        flat.count_pivot(df, "itemid", "doctypebranch", ["CHAMBER"], "x").collect()
+
+
 def test_unique_or_reject_and_reload(spark):
     df = spark.createDataFrame([("a", "e1"), ("b", "e1"), ("c", None), ("d", None)], "itemid string, ecli string")
     kept, out = relational.unique_or_reject(df, "ecli", "itemid")
