@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
@@ -66,23 +66,27 @@ def vector_lines(vectors: DataFrame, value: str, key: str = "doc_id", offset: in
     return vectors.groupBy(key).agg(joined.alias("line"))
 
 
-def corrected_frequencies(grams: DataFrame, limit: int = 500) -> DataFrame:
+def corrected_frequencies(grams: DataFrame) -> DataFrame:
     """(n, gram, count): counts lowered by one for each longer gram that begins with, holds or ends in a gram.
 
-    Works on the ``limit`` most frequent grams of each order (a capped vocabulary is
-    the feature), which bounds the pairs that are compared.
+    Each of the three is a test of text (``_g``, ``_g_`` and ``g_`` stand in the longer
+    gram), so a longer gram is cut into all texts beside an underscore, which meet
+    the grams by an equal join.
     """
-    order = Window.partitionBy("n").orderBy(F.desc("count"), "gram")
-    top = grams.withColumn("r", F.row_number().over(order)).where(F.col("r") <= limit).drop("r")
-    longer = top.select((F.col("n") - 1).alias("n"), F.col("gram").alias("longer"))
-    g = F.col("gram")
-    hits = (
-        F.when(F.contains("longer", F.concat(F.lit("_"), g)), 1).otherwise(0)
-        + F.when(F.contains("longer", F.concat(F.lit("_"), g, F.lit("_"))), 1).otherwise(0)
-        + F.when(F.contains("longer", F.concat(g, F.lit("_"))), 1).otherwise(0)
-    )
-    lowered = top.join(longer, "n").groupBy("n", "gram").agg(F.sum(hits).alias("less"))
-    return top.join(lowered, ["n", "gram"], "left").select("n", "gram", (F.col("count") - F.coalesce("less", F.lit(0))).alias("count"))
+    grams = durable(grams)  # read twice below; the texts are cut into grams once
+    longer = F.col("gram")
+    marks = F.filter(F.sequence(F.lit(1), F.length(longer)), lambda i: F.substring(longer, i, F.lit(1)) == "_")
+
+    def parts(after, ends) -> Column:
+        """The distinct texts from a place to each of the places behind it."""
+        return F.array_distinct(F.flatten(F.transform(after, lambda s: F.transform(F.filter(ends, lambda e: e > s), lambda e: F.substring(longer, s + 1, e - s - 1)))))
+
+    any_start = F.sequence(F.lit(0), F.length(longer))
+    any_end = F.sequence(F.lit(1), F.length(longer) + 1)
+    hits = F.concat(parts(marks, any_end), parts(marks, marks), parts(any_start, marks))
+    cut = grams.where("n > 1").select((F.col("n") - 1).alias("n"), F.explode(hits).alias("gram")).where("gram <> ''")
+    lowered = cut.groupBy("n", "gram").agg(F.count("*").alias("less"))
+    return grams.join(lowered, ["n", "gram"], "left").select("n", "gram", (F.col("count") - F.coalesce("less", F.lit(0))).alias("count"))
 
 
 def repeat_tokens(counts: DataFrame, token: str = "gram", n: str = "count") -> DataFrame:

@@ -44,7 +44,7 @@ def ngram_frequency_filter(spark, sf_dir):
 
 
 def frequency_correction(spark, sf_dir):
-    return op.corrected_frequencies(op.ngram_counts(_docs(spark, sf_dir), 3, 20), 300)
+    return op.corrected_frequencies(op.ngram_counts(_docs(spark, sf_dir), 3, 20))
 
 
 def normalised_documents(spark, sf_dir):

@@ -69,6 +69,17 @@ def test_tokens_and_ngrams(spark):
     assert df.select(ft.ngrams(ft.clean_tokens(F.col("t")), 3)).first()[0] == ["court_cafe_naive", "cafe_naive_naive"]
 
 
+def test_frequencies_of_all_grams_are_corrected(spark):
+    words = ["art", "arts", "part", "case", "cases", "law"]
+    texts_ = [" ".join(words[(i * k + i // 3) % 6] for i in range(60)) for k in range(1, 6)] + [" ".join(f"word{i}" for i in range(700))]
+    counts = features.ngram_counts(spark.createDataFrame([(t,) for t in texts_], "text string"), 3)
+    before = {(r["n"], r["gram"]): r["count"] for r in counts.collect()}
+    want = {
+        (n, g): c - sum(("_" + g in x) + ("_" + g + "_" in x) + (g + "_" in x) for m, x in before if m == n + 1) for (n, g), c in before.items()
+    }
+    assert len(want) > 2000 and {(r["n"], r["gram"]): r["count"] for r in features.corrected_frequencies(counts).collect()} == want
+
+
 def test_tfidf_rows_have_length_one(spark):
     docs = spark.createDataFrame([(1, ["a", "b", "b"]), (2, ["a", "c"]), (3, ["c"])], "doc_id int, tokens array<string>")
     bow = features.bag_of_words(docs, features.vocabulary(docs, 10))
