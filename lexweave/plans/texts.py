@@ -10,6 +10,9 @@ from ..operators import features as op
 from ..session import table
 from ..sources import lookups
 
+#: The reference's effective limit of tokens.
+TOKENS = 5_000
+# The size of the SQL's vocabulary.
 VOCABULARY = 500
 
 
@@ -53,18 +56,18 @@ def normalised_documents(spark, sf_dir):
 
 
 def vocab_topk(spark, sf_dir):
-    return op.vocabulary(_tokens(spark, sf_dir), VOCABULARY)
+    return op.vocabulary(_tokens(spark, sf_dir), TOKENS)
 
 
 def bow(spark, sf_dir):
     docs = _tokens(spark, sf_dir)
-    return op.bag_of_words(docs, op.vocabulary(docs, VOCABULARY))
+    return op.bag_of_words(docs, op.vocabulary(docs, TOKENS))
 
 
 def tfidf(spark, sf_dir):
     docs = _tokens(spark, sf_dir)
     n = docs.agg(F.count("*").alias("n"))
-    out = op.tfidf(op.bag_of_words(docs, op.vocabulary(docs, VOCABULARY)), n)
+    out = op.tfidf(op.bag_of_words(docs, op.vocabulary(docs, TOKENS)), n)
     return out.select("doc_id", "token_id", F.round("w", 6).alias("w"))
 
 

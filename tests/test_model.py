@@ -119,6 +119,12 @@ def test_one_hot_has_a_column_for_every_value(spark, tmp_path):
         flat.count_pivot(df, "itemid", "doctypebranch", ["CHAMBER"], "x").collect()
 
 
+def test_vocabulary_has_the_size_of_the_reference(spark, tmp_path):
+    rows = [(k, " ".join(f"w{i}" for i in range(600 * k, 600 * k + 600))) for k in range(10)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert texts.vocab_topk(spark, str(tmp_path)).count() == texts.bow(spark, str(tmp_path)).count() == 5_000
+
+
 def test_unique_or_reject_and_reload(spark):
     df = spark.createDataFrame([("a", "e1"), ("b", "e1"), ("c", None), ("d", None)], "itemid string, ecli string")
     kept, out = relational.unique_or_reject(df, "ecli", "itemid")
