@@ -37,5 +37,10 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_shares(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p7_ids, p8_mix, p8_shares, p9_found, p9_shares)}
+def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and set of documents that hold the same run, with the number of documents."""
+    return spans.shared_classes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p7_ids, p8_mix, p8_shares, p9_found, p9_shares, p9_classes)}
 ORACLES: dict[str, str] = {}

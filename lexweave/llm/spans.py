@@ -2,26 +2,28 @@
 
 1. Phrases. In every run of SPAN characters the PHRASE-gram of least hash is a
    phrase (winnowing, vectorised over whole batches), so records that share a
-   run of SPAN characters share the phrase of that run, at the same place in
-   it. About one phrase in 70 characters is kept, as a hash and a position.
-2. Recurring phrases. A phrase that only one record holds leads nowhere;
-   grouping by hash keeps the others, a few per cent.
-3. Passages. Around each recurring phrase its passage is cut: all runs of SPAN
-   characters that hold the phrase. Equal passages are pre-aggregated.
-4. Automata. Passages go to shards by phrase. A shard compiles the phrases it
-   holds, as text, into one pyahocorasick automaton and streams its passages
-   through it, which locates every occurrence of every phrase exactly. Runs of
-   SPAN characters around occurrences that are equal, character by character,
-   form a class; classes with the same members are kept once.
-   A document is streamed only through the shards whose phrases it can hold, so
-   the work grows with the recurring text and not with documents times shards.
-5. Results. Classes join back to documents: pairs for p9_found, and covered
-   positions for the share of each text that stands elsewhere.
-
-Skew. A phrase with more than HOT different passages isn't sent to one shard:
-its runs are hashed to 128 bits each and grouped by that hash instead, an exact
-way for hot phrases that no task sees whole. Pairs are emitted per class after
-classes with equal members are merged; their number is that of the result.
+   run of SPAN characters hold the phrase of that run, at the same place in it.
+2. Recurring phrases. A phrase that only one record holds leads nowhere; one
+   shuffle of hashes keeps the others, a few per cent. Their text is cut from
+   the first record that holds them.
+3. Automata. Recurring phrases go to shards, those of one passage to the same
+   one. A shard compiles its phrases into a pyahocorasick automaton, and whole
+   texts are streamed through it, which locates every occurrence of every
+   phrase, character by character. Only what it locates goes on: without the
+   automata there is no result. Winnowing proves which shards' phrases a text
+   can hold, so it is streamed through these; a shard that many texts need is
+   compiled in several tasks (blocks), each of which streams a part of them.
+4. Runs. Each occurrence has its passage: all runs of SPAN characters that hold
+   the phrase. Equal passages of a phrase are one. Where a phrase stands in
+   different passages, their runs are compared by 128-bit hashes of their text.
+   Runs that two records or more hold form a class; classes with the same
+   members are kept once.
+5. Results. Classes join back to documents: members for p9_classes, pairs for
+   p9_found, and covered positions for the share of each text in p9_shares.
+
+Skew and size: a task holds one shard's phrases and one text at a time; hot
+phrases are rows like others. Hashes, passages and runs are pre-aggregated.
+Pairs are emitted per class; their number is that of the result.
 
 Defined results: null, empty and short texts share nothing. Equal texts of
 SPAN or more characters share all. A run that repeats inside one record only is
@@ -30,12 +32,10 @@ not shared. Positions and lengths are in code points.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,10 +44,11 @@ from ..session import durable, spread
 
 SPAN = 300
 PHRASE = 160
-#: Different passages of one phrase beyond which it is hashed rather than sent to one shard.
-HOT = 2_000
-#: Passages that a shard is meant to hold.
-SHARD = 10_000
+#: Phrases that a shard's automaton is meant to hold, and texts that one task is meant to stream through it.
+SHARD = 4_000
+TEXTS = 4_000
+#: Positions of a text whose phrases go to one shard: bounds what a very long text brings.
+_STRETCH = 50_000
 _BASE = 0x9E3779B97F4A7C15
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -138,160 +139,176 @@ def _phrase_rows(docs: DataFrame, span: int, phrase: int) -> DataFrame:
     return spread(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, pos int, h bigint")
 
 
-def _passages(docs: DataFrame, span: int, phrase: int) -> DataFrame:
-    """(doc_id, at, h, left, passage, p1, p2): the passage around each recurring phrase; p1, p2 name it."""
-    long = docs.where(F.char_length("text") >= span).select("doc_id", "text")
-    rows = durable(_phrase_rows(long, span, phrase))
-    recurring = rows.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("h")
-    hits = rows.join(recurring, "h", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h")).alias("hits"))
-    margin = span - phrase
-    cut = (
-        long.join(hits, "doc_id")
-        .select("doc_id", "text", F.explode("hits").alias("hit"))
-        .select(
-            "doc_id",
-            F.col("hit.h").alias("h"),
-            F.greatest(F.col("hit.pos") - margin, F.lit(0)).alias("at"),
-            F.least(F.col("hit.pos"), F.lit(margin)).alias("left"),
-            F.expr(f"substring(text, greatest(hit.pos - {margin}, 0) + 1, least(hit.pos, {margin}) + {phrase + margin})").alias("passage"),
-        )
-    )
-    name = [F.xxhash64("passage", "left", F.lit(salt)) for salt in (1, 2)]
-    return durable(cut.withColumn("p1", name[0]).withColumn("p2", name[1]))
-
-
-def _classes_of(passages: list[tuple[str, int, int, int]], span: int, phrase: int) -> Iterator[list[tuple[int, int]]]:
-    """Of (passage, left, least, greatest document): the runs that several documents hold, as (member, offset) lists.
-
-    The automaton holds the phrases as text; every passage is streamed through it.
-    """
-    import ahocorasick
-
-    automaton = ahocorasick.Automaton()
-    words: dict[str, int] = {}
-    for text, left, *_ in passages:
-        words.setdefault(text[left : left + phrase], len(words))
-    for word, k in words.items():
-        automaton.add_word(word, k)
-    automaton.make_automaton()
-    occurrences: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for n, (text, *_) in enumerate(passages):
-        for end, k in automaton.iter(text):
-            occurrences[k].append((n, end - phrase + 1))
-
-    def several(members: list[tuple[int, int]]) -> bool:
-        return min(passages[n][2] for n, _ in members) < max(passages[n][3] for n, _ in members)
-
-    for places in occurrences.values():
-        if not several(places):
-            continue
-        runs: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for n, at in places:
-            text = passages[n][0]
-            for start in range(max(0, at + phrase - span), min(at, len(text) - span) + 1):
-                runs[text[start : start + span]].append((n, start))
-        for members in runs.values():
-            if several(members):
-                yield members
-
-
-def _shard(pdf: pd.DataFrame, span: int, phrase: int) -> pd.DataFrame:
-    passages = list(zip(pdf["passage"], pdf["left"], pdf["a"], pdf["b"]))
-    p1, p2 = pdf["p1"].tolist(), pdf["p2"].tolist()
-    out, seen = [], {}
-    covered: dict[int, list[list[int]]] = defaultdict(list)
-    for members in _classes_of(passages, span, phrase):
-        own = frozenset(n for n, _ in members)
-        if own not in seen:
-            seen[own] = len(seen)
-            # A class is named after its first member, by which it is told apart across shards.
-            c1, c2 = min((p1[n], p2[n]) for n in own)
-            out.extend((c1, c2, seen[own], p1[n], p2[n], -1, -1) for n in own)
-        for n, start in members:
-            spans = covered[n]
-            if spans and spans[-1][0] <= start <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], start + span)
-            else:
-                spans.append([start, start + span])
-    for n, spans in covered.items():
-        out.extend((None, None, None, p1[n], p2[n], a, b) for a, b in spans)
-    return pd.DataFrame(out, columns=["c1", "c2", "c3", "p1", "p2", "lo", "hi"]).astype(
-        {k: "Int64" for k in ("c1", "c2", "c3", "p1", "p2", "lo", "hi")}
+def recurring_phrases(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE) -> DataFrame:
+    """(doc_id, pos, h, a, at): the phrases that several documents hold; the first of them is a, which holds it at ``at``."""
+    rows = _phrase_rows(docs.where(F.char_length("text") >= span), span, phrase)
+    # One shuffle of hashes; a window spills, so it bears a phrase that many documents hold.
+    same = Window.partitionBy("h")
+    first, last = F.min(F.struct("doc_id", "pos")).over(same), F.max("doc_id").over(same)
+    found = rows.withColumn("first", first).withColumn("last", last).where(F.col("first.doc_id") < F.col("last"))
+    return found.select("doc_id", "pos", "h", F.col("first.doc_id").alias("a"), F.col("first.pos").alias("at"))
+
+
+def _routed(docs: DataFrame, hits: DataFrame, phrase: int, shard: int) -> DataFrame:
+    """(shard, block, kind, h, doc_id, text): phrases (kind 0) and the texts (kind 1) that each block streams."""
+    witness = (F.col("doc_id") == F.col("a")) & (F.col("pos") == F.col("at"))
+    shards = max(1, -(-hits.where(witness).count() // shard))
+    # Phrases of one passage have the same first document: they share a shard, so a text meets few of them.
+    home = F.pmod(F.xxhash64("a", F.floor(F.col("at") / _STRETCH)), F.lit(shards)).cast("int")
+    hits = hits.withColumn("shard", home).withColumn("piece", F.when(witness, F.struct("shard", "h", "pos")))
+    need = hits.select("shard", "doc_id").distinct().groupBy("shard").agg(F.ceil(F.count("*") / TEXTS).cast("int").alias("blocks"))
+    per = hits.groupBy("doc_id", "shard").agg(F.collect_set("piece").alias("pieces"))
+    per = per.join(need, "shard")  # one row per shard, so the optimiser decides how to join
+    block = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("blocks")).cast("int")
+    none = F.lit(None).cast("int")
+    streams = F.array(F.struct("shard", block.alias("block"), F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("h"), none.alias("pos")))
+    compiled = F.flatten(F.transform("pieces", lambda p: F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(
+        p["shard"].alias("shard"), b.alias("block"), F.lit(0).alias("kind"), p["h"].alias("h"), p["pos"].alias("pos")))))
+    per = per.groupBy("doc_id").agg(F.flatten(F.collect_list(F.concat(streams, compiled))).alias("parts"))
+    cut = F.when(F.col("p.kind") == 0, F.substring("text", F.col("p.pos") + 1, F.lit(phrase))).otherwise(F.col("text"))
+    return docs.select("doc_id", "text").join(per, "doc_id").select("doc_id", "text", F.explode("parts").alias("p")).select(
+        "p.shard", "p.block", "p.kind", "p.h", "doc_id", cut.alias("text")
     )
 
 
-_SHARD = "c1 bigint, c2 bigint, c3 bigint, p1 bigint, p2 bigint, lo bigint, hi bigint"
+class Phrases:
+    """One shard's automaton: phrases as text, and where they stand in other texts."""
 
+    def __init__(self, phrase: int, span: int):
+        self.phrase, self.margin = phrase, span - phrase
+        self.words: dict[str, int] = {}
+        self.automaton = None
+
+    def add(self, text: str, h: int) -> None:
+        self.words[text] = h
+
+    def passages(self, text: str) -> dict[tuple[int, int, str], list[int]]:
+        """(hash, place of the phrase, passage) of every occurrence, with the positions at which such a passage begins."""
+        if self.automaton is None:
+            import ahocorasick
+
+            self.automaton = ahocorasick.Automaton()
+            for word, h in self.words.items():
+                self.automaton.add_word(word, h)
+            self.automaton.make_automaton()
+        out: dict[tuple[int, int, str], list[int]] = {}
+        if self.words:
+            for end, h in self.automaton.iter(text):
+                at = end - self.phrase + 1
+                begin = max(0, at - self.margin)
+                out.setdefault((h, at - begin, text[begin : end + 1 + self.margin]), []).append(begin)
+        return out
 
-def _found(passages: DataFrame, span: int, phrase: int, hot: int, shard: int) -> DataFrame:
-    """Members of classes (c1, c2, c3 set) and covered spans (lo, hi set) by passage name."""
-    distinct = durable(
-        passages.groupBy("h", "p1", "p2").agg(
-            F.first("passage").alias("passage"),
-            F.first("left").alias("left"),
-            F.min("doc_id").alias("a"),
-            F.max("doc_id").alias("b"),
-        )
-    )
-    per_phrase = distinct.groupBy("h").agg(F.count("*").alias("n"))
-    small = distinct.join(per_phrase.where(F.col("n") <= hot), "h", "left_semi")
-    large = distinct.join(per_phrase.where(F.col("n") > hot), "h", "left_semi")
 
-    shards = max(1, -(-distinct.count() // shard))
-    by_shard = small.groupBy(F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard"))
-    from_automata = by_shard.applyInPandas(lambda pdf: _shard(pdf, span, phrase), _SHARD)
+def occurrences(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, shard: int = SHARD, automaton: type = Phrases) -> DataFrame:
+    """(doc_id, h, left, passage, ats): every occurrence of every recurring phrase, located by the shards' automata."""
+    docs = docs.select("doc_id", "text").where(F.char_length("text") >= span)
+    routed = _routed(docs, durable(recurring_phrases(docs, span, phrase)), phrase, shard)
+    kind = dict(docs.dtypes)["doc_id"]
+    schema = f"doc_id {kind}, h bigint, `left` int, passage string, ats array<int>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, phrases = None, automaton(phrase, span)
+        ids, rows = [], []
 
+        def flush() -> pa.RecordBatch:
+            cols = list(zip(*rows))
+            types = (pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), *map(pa.array, cols, types)], names=["doc_id", "h", "left", "passage", "ats"])
+
+        for batch in batches:
+            shards, blocks, kinds, hs, texts = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 5))
+            for n, text in enumerate(texts):
+                if key != (shards[n], blocks[n]):
+                    key, phrases = (shards[n], blocks[n]), automaton(phrase, span)
+                if kinds[n] == 0:
+                    phrases.add(text, hs[n])
+                    continue
+                found = phrases.passages(text)
+                if found:
+                    ids.append(batch.column(4).take(pa.array([n] * len(found))))
+                    rows.extend((h, left, passage, ats) for (h, left, passage), ats in found.items())
+                if len(rows) > 5_000:
+                    yield flush()
+                    ids, rows = [], []
+        if rows:
+            yield flush()
+
+    # A block's phrases come before its texts, so it is compiled once and texts are not kept.
+    streams = routed.repartition("shard", "block").sortWithinPartitions("shard", "block", "kind")
+    return streams.mapInArrow(run, schema)
+
+
+def _named(docs: DataFrame, span: int, phrase: int, shard: int, automaton: type) -> DataFrame:
+    """Occurrences with p1, p2, which name the phrase's passage."""
+    found = occurrences(docs, span, phrase, shard, automaton)
+    return durable(found.withColumn("p1", F.xxhash64("h", "left", "passage", F.lit(1))).withColumn("p2", F.xxhash64("h", "left", "passage", F.lit(2))))
+
+
+def _runs(named: DataFrame, span: int, phrase: int) -> tuple[DataFrame, DataFrame]:
+    """Members (c1, c2, p1, p2) of the classes of runs that several documents hold, and (p1, p2, lo, hi): what of a passage is shared."""
+    each = named.groupBy("h", "p1", "p2").agg(
+        F.first("left").alias("left"), F.first("passage").alias("passage"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b")
+    )
     first = F.greatest(F.col("left") + phrase - span, F.lit(0))
     last = F.least(F.col("left"), F.char_length("passage") - span)
-    runs = (
-        large.where(last >= first)
-        .select("p1", "p2", "a", "b", "passage", F.explode(F.sequence(first, last)).alias("start"))
+    each = durable(each.withColumn("first", first).withColumn("last", last).where("last >= first"))
+    many = each.groupBy("h").agg(F.count("*").alias("n"))
+    alone = each.join(many.where("n = 1"), "h", "left_semi").where("a < b")  # one passage: all its runs are one class
+    runs = durable(
+        each.join(many.where("n > 1"), "h", "left_semi")
+        .select("h", "p1", "p2", "a", "b", "passage", F.explode(F.sequence("first", "last")).alias("start"))
         .withColumn("run", F.expr(f"substring(passage, start + 1, {span})"))
-        .select("p1", "p2", "a", "b", "start", F.xxhash64("run", F.lit(3)).alias("c1"), F.xxhash64("run", F.lit(4)).alias("c2"))
+        .select("h", "p1", "p2", "a", "b", "start", F.xxhash64("run", F.lit(3)).alias("c1"), F.xxhash64("run", F.lit(4)).alias("c2"))
     )
-    shared = runs.groupBy("c1", "c2").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a < b").select("c1", "c2")
-    members = runs.join(shared, ["c1", "c2"])
-    by_hash = members.select("c1", "c2", F.lit(-1).cast("bigint").alias("c3"), "p1", "p2", F.lit(-1).cast("bigint").alias("lo"), F.lit(-1).cast("bigint").alias("hi"))
-    spans = members.select(
-        F.lit(None).cast("bigint").alias("c1"), F.lit(None).cast("bigint").alias("c2"), F.lit(None).cast("bigint").alias("c3"),
-        "p1", "p2", F.col("start").cast("bigint").alias("lo"), (F.col("start") + span).cast("bigint").alias("hi"),
-    )
-    return from_automata.unionByName(by_hash).unionByName(spans)
-
-
-def shared_pairs(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, hot: int = HOT, shard: int = SHARD) -> DataFrame:
-    """(doc_a, doc_b), doc_a < doc_b: the documents in which the same run of ``span`` characters stands."""
-    passages = _passages(docs, span, phrase)
-    classes = _found(passages, span, phrase, hot, shard).where("c1 is not null")
-    members = (
-        classes.select("c1", "c2", "c3", "p1", "p2").join(passages.select("p1", "p2", "doc_id"), ["p1", "p2"])
-        .select("c1", "c2", "c3", "doc_id").distinct()
-    )
-    members = durable(members)
-    # Classes with the same members give the same pairs: keep one of each set of documents.
-    sets = members.groupBy("c1", "c2", "c3").agg(
-        F.count("*").alias("n"),
+    # A passage holds an equal run twice at most as the phrase recurs in it, so members are told apart before they are summed.
+    sets = runs.select("h", "c1", "c2", "p1", "p2", "a", "b").distinct().groupBy("h", "c1", "c2").agg(
+        F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n"), F.sum(F.col("p1").cast("decimal(38,0)")).alias("s"),
+    ).where("a < b")
+    kept = sets.groupBy("h", "n", "s").agg(F.min(F.struct("c1", "c2")).alias("c")).select("h", "c.c1", "c.c2")
+    members = runs.join(kept, ["h", "c1", "c2"], "left_semi").select("c1", "c2", "p1", "p2").distinct()
+    members = members.unionByName(alone.select(F.col("p1").alias("c1"), F.col("p2").alias("c2"), "p1", "p2"))
+    # Shared runs of a passage all hold the phrase, so together they are one stretch.
+    shared = runs.join(sets.select("h", "c1", "c2"), ["h", "c1", "c2"], "left_semi").groupBy("p1", "p2").agg(
+        F.min("start").alias("lo"), (F.max("start") + span).alias("hi")
+    )
+    shared = shared.unionByName(alone.select("p1", "p2", F.col("first").alias("lo"), (F.col("last") + span).alias("hi")))
+    return members, shared
+
+
+def shared_classes(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, shard: int = SHARD, automaton: type = Phrases) -> DataFrame:
+    """(c1, c2, doc_id, n_docs): sets of documents that hold the same run of ``span`` characters, each set once."""
+    named = _named(docs, span, phrase, shard, automaton)
+    members, _ = _runs(named, span, phrase)
+    held = durable(members.join(named.select("p1", "p2", "doc_id"), ["p1", "p2"]).select("c1", "c2", "doc_id").distinct())
+    # Classes of different phrases of a passage have the same documents: keep one of each set.
+    sets = held.groupBy("c1", "c2").agg(
+        F.count("*").alias("n_docs"),
         F.sum(F.xxhash64("doc_id", F.lit(5)).cast("decimal(38,0)")).alias("s1"),
         F.sum(F.xxhash64("doc_id", F.lit(6)).cast("decimal(38,0)")).alias("s2"),
     )
-    kept = sets.where("n > 1").groupBy("n", "s1", "s2").agg(F.min(F.struct("c1", "c2", "c3")).alias("c")).select("c.*")
-    own = members.join(kept, ["c1", "c2", "c3"], "left_semi")
+    kept = sets.groupBy("n_docs", "s1", "s2").agg(F.min(F.struct("c1", "c2")).alias("c")).select("c.c1", "c.c2", "n_docs")
+    return held.join(kept, ["c1", "c2"]).select("c1", "c2", "doc_id", "n_docs")
+
+
+def shared_pairs(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, shard: int = SHARD, automaton: type = Phrases) -> DataFrame:
+    """(doc_a, doc_b), doc_a < doc_b: the documents in which the same run of ``span`` characters stands."""
+    own = durable(shared_classes(docs, span, phrase, shard, automaton))
     return (
-        own.withColumnRenamed("doc_id", "doc_a")
-        .join(own.withColumnRenamed("doc_id", "doc_b"), ["c1", "c2", "c3"])
+        own.select("c1", "c2", F.col("doc_id").alias("doc_a"))
+        .join(own.select("c1", "c2", F.col("doc_id").alias("doc_b")), ["c1", "c2"])
         .where("doc_a < doc_b")
         .select("doc_a", "doc_b")
         .distinct()
     )
 
 
-def shared_shares(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, hot: int = HOT, shard: int = SHARD) -> DataFrame:
+def shared_shares(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, shard: int = SHARD, automaton: type = Phrases) -> DataFrame:
     """(doc_id, n_chars, shared_chars, share) of every document: how much of its text stands elsewhere in runs of ``span``."""
-    passages = _passages(docs, span, phrase)
-    covered = _found(passages, span, phrase, hot, shard).where("c1 is null")
+    named = _named(docs, span, phrase, shard, automaton)
+    _, covered = _runs(named, span, phrase)
     spans = (
-        passages.select("p1", "p2", "doc_id", "at")
-        .join(covered.select("p1", "p2", "lo", "hi"), ["p1", "p2"])
+        named.select("p1", "p2", "doc_id", F.explode("ats").alias("at")).join(covered, ["p1", "p2"])
         .select("doc_id", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
         .groupBy("doc_id", "lo").agg(F.max("hi").alias("hi"))
     )

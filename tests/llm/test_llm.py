@@ -128,11 +128,22 @@ def test_shared_spans(spark):
             if len(where[t[k : k + span]]) > 1:
                 covered[k : k + span] = b"\1" * span
         shared[d] = sum(covered)
-    for hot, shard in ((2_000, 10_000), (3, 10), (0, 10_000)):  # automata, both, hashes only
-        assert {tuple(r) for r in spans.shared_pairs(df, span, 32, hot, shard).collect()} == want
-        rows = spans.shared_shares(df, span, 32, hot, shard).collect()
+    for shard in (10_000, 7):  # one automaton, many
+        assert {tuple(r) for r in spans.shared_pairs(df, span, 32, shard).collect()} == want
+        rows = spans.shared_shares(df, span, 32, shard).collect()
         assert {r["doc_id"]: r["shared_chars"] for r in rows} == shared
         assert all(r["share"] == (r["shared_chars"] / r["n_chars"] if r["n_chars"] else 0.0) for r in rows)
+    classes = defaultdict(set)
+    for r in spans.shared_classes(df, span, 32).collect():
+        classes[r["c1"], r["c2"]].add((r["doc_id"], r["n_docs"]))
+    assert all(len(c) == n for c in classes.values() for _, n in c) and len({frozenset(c) for c in classes.values()}) == len(classes)
+    assert {(x, y) for c in classes.values() for x, _ in c for y, _ in c if x < y} == want
+
+    class Blind(spans.Phrases):
+        def passages(self, text):
+            return {}
+
+    assert spans.shared_pairs(df, span, 32, automaton=Blind).count() == 0  # all rows come from the automata
     assert spans.shared_pairs(df.limit(0)).count() == 0 and spans.shared_shares(df.limit(0)).count() == 0
 
 
