@@ -5,24 +5,37 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 
-def distance(a: str, b: str) -> int:
-    """Levenshtein distance by bit vectors: one step of whole-number arithmetic per character of b."""
-    if not a or not b:
-        return len(a) + len(b)
+def pattern(a: str) -> dict[str, int]:
+    """The places of each character of a text, as bits."""
     places: dict[str, int] = {}
     for k, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << k
+    return places
+
+
+def distance(a: str, b: str, places: dict[str, int] | None = None, most: int | None = None) -> int:
+    """Levenshtein distance by bit vectors: one step of whole-number arithmetic per character of b.
+
+    ``places`` is a's pattern, where it is known. A distance above ``most`` may come out as any number above it.
+    """
+    if not a or not b:
+        return len(a) + len(b)
+    places = pattern(a) if places is None else places
     full, top, score = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
-    up, down = full, 0
+    up, down, left = full, 0, len(b)
+    stop = len(a) + len(b) if most is None else most
     for c in b:
         here = places.get(c, 0)
         x = here | down
         diagonal = (((x & up) + up) ^ up) | x
         grow, fall = down | (~(diagonal | up) & full), up & diagonal
+        left -= 1
         if grow & top:
             score += 1
         elif fall & top:
             score -= 1
+        if score - left > stop:
+            return score - left
         grow, fall = (grow << 1 | 1) & full, fall << 1 & full
         seen = here | down
         up, down = fall | (~(seen | grow) & full), grow & seen
@@ -50,10 +63,11 @@ class BKTree:
 
     def within(self, query: str, radius: int) -> list[tuple[int, str]]:
         """Every entry within the radius, with its distance."""
-        found, work = [], [self.root] if self.root else []
+        found, work, places = [], [self.root] if self.root else [], pattern(query)
         while work:
             entry, below = work.pop()
-            d = distance(entry, query)
+            # Farther than this, neither the entry nor anything below it is within.
+            d = distance(query, entry, places, radius + max(below, default=0))
             if d <= radius:
                 found.append((d, entry))
             work.extend(node for k, node in below.items() if d - radius <= k <= d + radius)
@@ -64,10 +78,20 @@ class Shards:
     """Trees per band of lengths: a band whose lengths are all too far from the query's holds nothing within."""
 
     def __init__(self, entries: Iterable[str], band: int = 6):
-        self.band, self.trees = band, {}
-        for e in sorted(set(entries)):
-            self.trees.setdefault(len(e) // band, BKTree()).add(e)
+        self.band, self.entries = band, set(entries)
+        self.bands: dict[int, list[str]] = {}
+        self.trees: dict[int, BKTree] = {}
+        for e in sorted(self.entries):
+            self.bands.setdefault(len(e) // band, []).append(e)
+
+    def _tree(self, k: int) -> BKTree:
+        """A band's tree, built when it is first asked."""
+        if k not in self.trees:
+            self.trees[k] = BKTree(self.bands[k])
+        return self.trees[k]
 
     def within(self, query: str, radius: int) -> list[tuple[int, str]]:
-        low, high = (len(query) - radius) // self.band, (len(query) + radius) // self.band
-        return sorted(x for k, tree in self.trees.items() if low <= k <= high for x in tree.within(query, radius))
+        if radius <= 0:  # only the entry itself
+            return [(0, query)] if query in self.entries else []
+        near = range((len(query) - radius) // self.band, (len(query) + radius) // self.band + 1)
+        return sorted(x for k in near if k in self.bands for x in self._tree(k).within(query, radius))

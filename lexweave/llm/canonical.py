@@ -1,17 +1,20 @@
 """Problem 4: mapping what people typed to the closest entry of a reference list.
 
-A value names an article by number in one of many notations or by title, with
-slips. Numbers are read by a small grammar after slips in its cue words
-("Artcile", "Protcol") are mended by a BK-tree over these words; a number must
-be listed exactly, or its nearest listed parent is taken. Titles are looked up
-in BK-trees over the reference titles, as typed and with sorted words, after
-their words were mended by a BK-tree over the words of the list; pruning by
-the triangle inequality returns every title within the threshold, and the
-nearest one wins, over the shards by length.
-
-The list is broadcast after a check of its size (LIMIT entries); a larger list
-is refused. Values are mapped in one scan without a shuffle, and a worker
-remembers what it has mapped (MEMO values, then it starts anew).
+1. Values. Equal rows, then equal texts, are one; rows get their codes by join.
+2. Reading. A value names an article by number in one of many notations or by
+   title, with slips. A small grammar, after slips in its cue words ("Artcile",
+   "Protcol") are mended by a BK-tree over these words, brings numbers to the
+   list's own form of a code; what is left is a title, as words.
+3. Entries. Codes and titles (as they stand, sorted, and without small words)
+   are entries of the same BK-trees under the Levenshtein distance. A code must
+   be listed exactly, else its nearest listed parent is taken: its radius is 0.
+   A title's words are mended by BK-trees over the words of the list, and the
+   title is searched with a radius that grows with its length; the triangle
+   inequality prunes, every entry within the radius is returned, the nearest wins.
+4. Shards. A list of up to SHARD entries is broadcast, after a count. A larger
+   one is cut into shards by length and hash: a query goes to the shards whose
+   lengths are within its radius, a shard's entries are compiled to trees where
+   its queries are, and the shards' winners are merged by query.
 
 Defined results: one row per row. Null, empty and blank fields name nothing; a
 row without any listed article has the code ``none``. Of several codes the one
@@ -25,17 +28,19 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import durable, spread
 from .bktree import BKTree, Shards
 
-LIMIT = 10_000
-MEMO = 200_000
+#: Entries of a list that one worker's trees hold, and queries that one task asks of them.
+SHARD = 20_000
+QUERIES = 20_000
+_BAND = 8
 #: Titles farther than this share of their length are another title.
 NEAR = 0.28
 NONE = "none"
@@ -84,6 +89,10 @@ def _radius(word: str) -> int:
     return 0 if len(word) <= 4 else 1 if len(word) <= 6 else 2
 
 
+def _radius_of(word: Column) -> Column:
+    return F.when(F.length(word) <= 4, 0).when(F.length(word) <= 6, 1).otherwise(2)
+
+
 _numbers = {w: k + 1 for k, w in enumerate(ONES)} | {w: k + 1 for k, w in enumerate(ORDINALS)} | TENS
 _cue_tree = BKTree(sorted([*CUES, *_numbers]))
 
@@ -247,115 +256,180 @@ def _forms(words: list[str]) -> set[str]:
     return {" ".join(words), " ".join(sorted(words)), " ".join(sorted(w for w in words if w not in _SMALL) or words)}
 
 
-@dataclass(frozen=True)
-class Entry:
-    code: str
-    title: str | None
-    parent: str | None
-
-
-class Matcher:
-    """The reference list, ready to be asked; one per worker."""
-
-    def __init__(self, entries: list[Entry]):
-        self.codes = {e.code for e in entries}
-        self.parents = {e.code: e.parent for e in entries}
-        self.titles: dict[str, set[str]] = {}
-        vocabulary: set[str] = set()
-        for e in entries:
-            words = words_of(fold(e.title or ""))
-            vocabulary.update(words)
-            if words:
-                for form in _forms(words):
-                    self.titles.setdefault(form, set()).add(e.code)
-        self.words = Shards(vocabulary, band=3)
-        self.vocabulary = sorted(vocabulary)
-        self.tree = Shards(self.titles)
-        self.by_title = lru_cache(maxsize=MEMO)(self._by_title)
-        self.word = lru_cache(maxsize=MEMO)(self._word)
-
-    def listed(self, code: str) -> str | None:
-        """The code itself or its nearest listed parent."""
-        while code:
-            if code in self.codes:
-                return code
-            code = code.rpartition("-")[0]
-        return None
+_HITS = "hits array<struct<d:int,entry:string,code:string>>"
+_VALUE = "text string, bare boolean, codes array<string>, used boolean, words array<struct<word:string,cut:boolean>>"
 
-    def _word(self, word: str, cut: bool) -> str:
-        """The word of the list that was meant; ``cut`` words were shortened by a full stop."""
-        near = self.words.within(word, _radius(word))
-        if near and near[0][0] == 0:
-            return word
-        if cut and len(word) >= 3:
-            long = [v for v in self.vocabulary if v.startswith(word)]
-            if len(long) == 1:
-                return long[0]
-        if near:
-            return near[0][1] if len(near) == 1 or near[0][0] < near[1][0] else word
-        return min(self._split(word), default=(0, word))[1]
-
-    def _split(self, word: str) -> Iterator[tuple[int, str]]:
-        """Two words of the list that were typed as one, with their distance."""
-        for k in range(3, len(word) - 2):
-            left, right = self.words.within(word[:k], _radius(word[:k])), self.words.within(word[k:], _radius(word[k:]))
-            if left and right and 0 in (left[0][0], right[0][0]):
-                yield left[0][0] + right[0][0], f"{left[0][1]} {right[0][1]}"
-
-    def _by_title(self, text: str) -> str | None:
-        """The code of the title that a text is, typed with slips, words moved, cut or left out."""
-        parts = [(m[1], m[2] == ".") for m in re.finditer(r"([^\W\d_]+)(\.?)", text)]
-        typed = [w for w, _ in parts]
-        if not typed or len("".join(typed)) < 4:
-            return None
-        mended = " ".join(self.word(w, cut) for w, cut in parts).split()
-        best: list[tuple[float, int, str]] = []
-        for form in _forms(typed) | _forms(mended):
-            for d, title in self.tree.within(form, int(NEAR * len(form))):
-                size = max(len(form), len(title))
-                if d <= NEAR * size:
-                    best.extend((d / size, len(code), code) for code in self.titles[title])
-        return min(best)[2] if best else None
-
-    def candidates(self, element: str | None, article: str | None, base: str | None) -> list[str]:
-        """Listed codes that the fields support, the first of equals first."""
-        found: list[str] = []
-        for text, bare in ((article, True), (element, False), (base, True)):
-            if not text or not text.strip():
-                continue
-            plain = _ASPECT.sub("", fold(text).replace("&", " and ").strip())
-            reader = Reader(plain, bare)
-            codes = [c for c in map(self.listed, reader.codes()) if c]
-            found.extend(codes)
-            if not reader.used:
-                title = self.by_title(_LEAD.sub("", plain).strip())
-            else:
-                title = self.by_title(_LEAD.sub("", reader.rest()).strip())
-            if title and (not reader.used or codes):
-                found.append(title)
-        return found
 
-    def best(self, element: str | None, article: str | None, base: str | None) -> str:
-        found = self.candidates(element, article, base)
-        return max(found, key=self.depth) if found else NONE
+def _answers(trees: Shards, codes: dict[str, str], queries: list[tuple[str, int]]) -> pd.DataFrame:
+    rows = [(q, [{"d": d, "entry": e, "code": codes[e]} for d, e in trees.within(q, r)]) for q, r in queries]
+    return pd.DataFrame([r for r in rows if r[1]], columns=["query", "hits"])
 
-    def depth(self, code: str) -> int:
-        return code.count("-") - (1 if code.startswith("p") else 0)
 
+def search(queries: DataFrame, entries: DataFrame, shard: int = SHARD) -> DataFrame:
+    """(query, hits): every entry within the radius of each distinct (query, radius), nearest first; none, no row.
 
-def map_to_list(df: DataFrame, reference: DataFrame, key: str = "id", limit: int = LIMIT) -> DataFrame:
-    """(key, code): one row per row, with the most exact code of the list that a field supports."""
-    spark = df.sparkSession
-    rows = reference.select("code", "title", "parent_code").where("code is not null").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"the reference list has more than {limit} entries")
-    shared = spark.sparkContext.broadcast([Entry(r["code"], r["title"], r["parent_code"]) for r in rows])
-    kind = dict(df.dtypes)[key]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(shared.value)
-        for batch in batches:
-            codes = [matcher.best(e, a, b) for e, a, b in zip(batch["element"], batch["article"], batch["base_article"])]
-            yield pd.DataFrame({key: batch[key], "code": codes})
+    ``entries`` has distinct texts ``entry`` and a ``code`` each, and is read more than once.
+    """
+    if entries.limit(shard + 1).count() <= shard:
+        shared = queries.sparkSession.sparkContext.broadcast({r["entry"]: r["code"] for r in entries.select("entry", "code").collect()})
 
-    return spread(df.select(key, "element", "article", "base_article")).mapInPandas(run, f"{key} {kind}, code string")
+        def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            trees = Shards(shared.value, _BAND)
+            for batch in batches:
+                yield _answers(trees, shared.value, list(zip(batch["query"], batch["radius"])))
+
+        return spread(queries.select("query", "radius")).mapInPandas(ask, "query string, " + _HITS)
+
+    band = F.floor(F.length("entry") / _BAND).cast("int")
+    parts = entries.groupBy(band.alias("band")).agg(F.ceil(F.count("*") / shard).cast("int").alias("parts"))
+    near = [F.floor((F.length("query") + k * F.col("radius")) / _BAND).cast("int") for k in (-1, 1)]
+    asked = queries.select("query", "radius", F.explode(F.sequence(*near)).alias("band"))
+    blocks = asked.groupBy("band").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
+    plan = parts.join(blocks, "band")  # one row per band of lengths
+    held = entries.withColumn("band", band).join(plan, "band").select(
+        "band", F.pmod(F.xxhash64("entry"), F.col("parts")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.lit(0).alias("kind"), F.col("entry").alias("text"), "code", F.lit(0).alias("radius"),
+    )
+    sent = asked.join(plan, "band").select(
+        "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int").alias("block"),
+        F.lit(1).alias("kind"), F.col("query").alias("text"), F.lit(None).cast("string").alias("code"), "radius",
+    )
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, codes, trees = None, {}, None
+        for batch in batches:
+            for own, part in batch.groupby(["band", "part", "block"], sort=False):
+                if own != key:
+                    key, codes, trees = own, {}, None
+                entry = part[part["kind"] == 0]
+                codes.update(zip(entry["text"], entry["code"]))
+                ask = part[part["kind"] == 1]
+                if len(ask):
+                    trees = trees or Shards(codes, _BAND)
+                    yield _answers(trees, codes, list(zip(ask["text"], ask["radius"])))
+
+    keys = ["band", "part", "block"]
+    told = held.unionByName(sent).repartition(*keys).sortWithinPartitions(*keys, "kind").mapInPandas(stream, "query string, " + _HITS)
+    return told.groupBy("query").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+
+
+def _read_values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for text, bare in zip(batch["text"], batch["bare"]):
+            plain = _ASPECT.sub("", fold(text).replace("&", " and ").strip())
+            reader = Reader(plain, bare)
+            codes = reader.codes()
+            rest = _LEAD.sub("", reader.rest() if reader.used else plain).strip()
+            words = [{"word": m[1], "cut": m[2] == "."} for m in re.finditer(r"([^\W\d_]+)(\.?)", rest)]
+            if sum(len(w["word"]) for w in words) < 4:
+                words = []
+            rows.append((text, bare, codes, bool(reader.used), words))
+        yield pd.DataFrame(rows, columns=["text", "bare", "codes", "used", "words"])
+
+
+def _title_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for code, title in zip(batch["code"], batch["title"]):
+            words = words_of(fold(title or ""))
+            rows.append((code, sorted(_forms(words)) if words else [], words))
+        yield pd.DataFrame(rows, columns=["code", "forms", "words"])
+
+
+def _listed(codes: DataFrame) -> DataFrame:
+    """(entry, code): the shortest code of each entry."""
+    return codes.groupBy("entry").agg(F.min(F.struct(F.length("code"), "code")).alias("c")).select("entry", "c.code")
+
+
+def mended_words(words: DataFrame, vocabulary: DataFrame, shard: int = SHARD) -> DataFrame:
+    """(word, cut, mended): the word of the list that was meant; ``cut`` words were shortened by a full stop.
+
+    A word is itself if listed; a cut one the only word that begins so; then the one nearest
+    word; then two words typed as one, of which one is right; then it stays as it is.
+    """
+    near = search(words.select(F.col("word").alias("query"), _radius_of(F.col("word")).alias("radius")).distinct(), vocabulary, shard)
+    begins = vocabulary.where(F.length("entry") >= 3).select("entry", F.explode(F.sequence(F.lit(3), F.length("entry"))).alias("n"))
+    begins = begins.select(F.expr("substring(entry, 1, n)").alias("word"), "entry").groupBy("word").agg(F.count("*").alias("n"), F.min("entry").alias("full"))
+    begins = begins.where("n = 1").select("word", F.lit(True).alias("cut"), "full")
+    first, second = F.try_element_at("hits", F.lit(1)), F.try_element_at("hits", F.lit(2))
+    single = second.isNull() | (first["d"] < second["d"])
+    known = words.join(near.withColumnRenamed("query", "word"), "word", "left").join(begins, ["word", "cut"], "left").select(
+        "word", "cut",
+        F.when(first["d"] == 0, F.col("word")).when(F.col("full").isNotNull(), F.col("full"))
+        .when(first.isNotNull(), F.when(single, first["entry"]).otherwise(F.col("word"))).alias("mended"),
+    )
+    known = durable(known)
+    longest = (vocabulary.agg(F.max(F.length("entry"))).first()[0] or 0) + 2
+    size = F.length("word")
+    low, high = F.greatest(F.lit(3), size - longest), F.least(size - 3, F.lit(longest))
+    halves = known.where("mended is null").select("word").distinct().where(high >= low).select("word", F.explode(F.sequence(low, high)).alias("k"))
+    halves = halves.select("word", F.expr("substring(word, 1, k)").alias("l"), F.expr("substring(word, k + 1)").alias("r"))
+    halves = durable(halves)
+    ask = halves.select(F.explode(F.array("l", "r")).alias("query")).distinct().withColumn("radius", _radius_of(F.col("query")))
+    part = durable(search(ask, vocabulary, shard).select("query", F.element_at("hits", 1).alias("hit")))
+    both = halves.join(part.select(F.col("query").alias("l"), F.col("hit").alias("a")), "l").join(part.select(F.col("query").alias("r"), F.col("hit").alias("b")), "r")
+    both = both.where("a.d = 0 or b.d = 0").groupBy("word").agg(F.min(F.struct((F.col("a.d") + F.col("b.d")).alias("d"), F.concat_ws(" ", "a.entry", "b.entry").alias("two"))).alias("m"))
+    return known.join(both, "word", "left").select("word", "cut", F.coalesce("mended", "m.two", "word").alias("mended"))
+
+
+def _forms_of(words: Column) -> Column:
+    """As ``_forms``, of an array column."""
+    large = F.filter(words, lambda w: ~w.isin(*sorted(_SMALL)))
+    kept = F.when(F.size(large) > 0, large).otherwise(words)
+    return F.array(*[F.array_join(w, " ") for w in (words, F.array_sort(words), F.array_sort(kept))])
+
+
+def _titles(values: DataFrame, entries: DataFrame, vocabulary: DataFrame, shard: int) -> DataFrame:
+    """(words, title): the code of the title that words are, typed with slips, moved, cut or left out."""
+    texts = durable(values.where(F.size("words") > 0).select("words").distinct())
+    each = texts.select("words", F.posexplode("words").alias("pos", "w")).select("words", "pos", "w.word", "w.cut")
+    mended = mended_words(each.select("word", "cut").distinct(), vocabulary, shard)
+    lines = each.join(mended, ["word", "cut"]).groupBy("words").agg(F.array_sort(F.collect_list(F.struct("pos", "mended"))).alias("m"))
+    meant = F.flatten(F.transform("m", lambda x: F.split(x["mended"], " ")))
+    typed = F.transform("words", lambda w: w["word"])
+    forms = durable(lines.select("words", F.explode(F.array_distinct(F.concat(_forms_of(typed), _forms_of(meant)))).alias("query")))
+
+    def best(asked: DataFrame, radius: Column) -> DataFrame:
+        found = search(asked.select("query").distinct().withColumn("radius", radius), entries, shard)
+        size = lambda h: F.greatest(F.length("query"), F.length(h["entry"]))
+        rank = F.array_min(F.transform("hits", lambda h: F.struct((h["d"] / size(h)).alias("share"), F.length(h["code"]).alias("n"), h["code"].alias("code"))))
+        return asked.join(found.select("query", rank.alias("rank")), "query").groupBy("words").agg(F.min("rank").alias("rank")).select("words", "rank.code")
+
+    exact = durable(best(forms, F.lit(0)))  # nothing is nearer, so only the others are searched on
+    others = forms.join(exact, "words", "left_anti")
+    return exact.unionByName(best(others, F.floor(NEAR * F.length("query")).cast("int"))).withColumnRenamed("code", "title")
+
+
+def map_to_list(df: DataFrame, reference: DataFrame, key: str = "id", shard: int = SHARD) -> DataFrame:
+    """(key, code): one row per row, with the most exact code of the list that a field supports."""
+    fields = ["element", "article", "base_article"]
+    rows = df.select(key, *fields)
+    triples = durable(rows.select(*fields).distinct())
+    order = [("article", True, 0), ("element", False, 1), ("base_article", True, 2)]
+    field = F.explode(F.array(*[F.struct(F.col(c).alias("text"), F.lit(bare).alias("bare"), F.lit(k).alias("ord")) for c, bare, k in order])).alias("f")
+    named = triples.select(*fields, field).select(*fields, "f.*").where(F.trim("text") != "")
+    values = durable(spread(named.select("text", "bare").distinct()).mapInPandas(_read_values, _VALUE))
+
+    titles = durable(reference.where("code is not null").select("code", "title").mapInPandas(_title_entries, "code string, forms array<string>, words array<string>"))
+    forms = titles.select(F.explode("forms").alias("entry"), "code")
+    entries = durable(_listed(titles.select(F.col("code").alias("entry"), "code").unionByName(forms)))
+    vocabulary = durable(titles.select(F.explode("words").alias("entry")).distinct().withColumn("code", F.col("entry")))
+
+    # A code and its parents, nearest first: all are asked for with radius 0.
+    codes = values.where(F.size("codes") > 0).select("codes").distinct().select("codes", F.posexplode("codes").alias("pos", "code"))
+    levels = F.split("code", "-")
+    chain = codes.select("codes", "pos", F.explode(F.transform(F.sequence(F.lit(1), F.size(levels)), lambda n: F.array_join(F.slice(levels, 1, n), "-"))).alias("query"))
+    known = search(chain.select("query").distinct().withColumn("radius", F.lit(0)), entries, shard).select("query", F.col("hits")[0]["code"].alias("code"))
+    nearest = chain.join(known, "query").groupBy("codes", "pos").agg(F.max_by("code", F.length("query")).alias("code"))
+    depth = F.size(F.split("code", "-")) - F.when(F.col("code").startswith("p"), 1).otherwise(0)
+    listed = nearest.groupBy("codes").agg(F.max_by(F.struct("code", depth.alias("depth")), F.struct(depth, -F.col("pos"))).alias("number"))
+
+    read = values.join(listed, "codes", "left").join(_titles(values, entries, vocabulary, shard), "words", "left")
+    titled = F.when(~F.col("used") | F.col("number").isNotNull(), F.col("title"))
+    own = F.when(titled.isNotNull(), F.struct(titled.alias("code"), (F.size(F.split(titled, "-")) - F.when(titled.startswith("p"), 1).otherwise(0)).alias("depth")))
+    pick = F.when(F.col("number").isNull() | (own["depth"] > F.col("number.depth")), own).otherwise(F.col("number"))
+    read = read.select("text", "bare", pick.alias("pick")).where("pick is not null")
+    best = durable(named.join(read, ["text", "bare"]).groupBy(*fields).agg(F.max_by("pick.code", F.struct("pick.depth", -F.col("ord"))).alias("code")))
+    same = [rows[c].eqNullSafe(best[c]) for c in fields]
+    return rows.join(best, same[0] & same[1] & same[2], "left").select(rows[key], F.coalesce(best["code"], F.lit(NONE)).alias("code"))

@@ -152,19 +152,23 @@ ARTICLES = [("2", "Safekeeping of every life", None), ("2-1", "Safekeeping of ev
             ("p7-1-1", None, "p7-1"), ("p1-1", "Quiet use of belongings", None), ("11", "Meetings and unions", None), ("10", None, None)]
 
 
-@pytest.mark.parametrize(
-    "element,article,base,want",
-    [
-        ("Violation of Article 5 § 1 (c)", None, None, "5-1-c"), ("No breach of Art. 5-1-k (length)", None, "5", "5-1"), ("Violation of Artcile Thirteen", None, None, "13"),
-        ("Violation of Art l3", None, None, "13"), ("Violation of Article 1 § 1 of the Seventh Protocol", None, None, "p7-1-1"), ("Violation of Protocol 1, Article 1: Quiet use", None, None, "p1-1"),
-        ("Violaton of Artcle 1(1) c) of Protcol no 7", None, None, "p7-1-1"), (None, "V-1-c", None, "5-1-c"), (None, "5.1", " 5 ", "5-1"), (None, "Prot. 7 art. 1-1", None, "p7-1-1"),
-        ("Violation of Safekeepimg of every life - prompt reveiw", None, None, "2-1"), ("No violation of arrest upon Guarsntees", None, None, "5"), ("Violation of Meetings & uninos", None, None, "11"),
-        ("Breach of redress Usefuldomestic", None, None, "13"), ("Violation of Care of public gardens", "?", None, "none"), ("Violation of Article 88", "88", "88", "none"),
-        ("Struck out in part", "n/a", "", "none"), (None, None, None, "none"), ("idem", None, "Art. 1O", "10"), ("Violation of Art. p3-4", None, None, "none"), ("x" * 50_000, None, None, "none"),
-    ],
-)
-def test_article_references(element, article, base, want):
-    assert canonical.Matcher([canonical.Entry(*a) for a in ARTICLES]).best(element, article, base) == want
+REFERENCES = [
+    ("Violation of Article 5 § 1 (c)", None, None, "5-1-c"), ("No breach of Art. 5-1-k (length)", None, "5", "5-1"), ("Violation of Artcile Thirteen", None, None, "13"),
+    ("Violation of Art l3", None, None, "13"), ("Violation of Article 1 § 1 of the Seventh Protocol", None, None, "p7-1-1"), ("Violation of Protocol 1, Article 1: Quiet use", None, None, "p1-1"),
+    ("Violaton of Artcle 1(1) c) of Protcol no 7", None, None, "p7-1-1"), (None, "V-1-c", None, "5-1-c"), (None, "5.1", " 5 ", "5-1"), (None, "Prot. 7 art. 1-1", None, "p7-1-1"),
+    ("Violation of Safekeepimg of every life - prompt reveiw", None, None, "2-1"), ("No violation of arrest upon Guarsntees", None, None, "5"), ("Violation of Meetings & uninos", None, None, "11"),
+    ("Breach of redress Usefuldomestic", None, None, "13"), ("Violation of Care of public gardens", "?", None, "none"), ("Violation of Article 88", "88", "88", "none"),
+    ("Struck out in part", "n/a", "", "none"), (None, None, None, "none"), ("idem", None, "Art. 1O", "10"), ("Violation of Art. p3-4", None, None, "none"), ("x" * 50_000, None, None, "none"),
+]
+
+
+@pytest.mark.parametrize("shard", [20_000, 3])  # one broadcast list; many shards whose winners are merged
+def test_article_references(spark, shard):
+    ref = spark.createDataFrame(ARTICLES, "code string, title string, parent_code string")
+    rows = [(k, *r[:3]) for k, r in enumerate(REFERENCES)]
+    df = spark.createDataFrame(rows, "id bigint, element string, article string, base_article string")
+    got = dict(tuple(r) for r in canonical.map_to_list(df, ref, shard=shard).collect())
+    assert [(r, got[k]) for k, r in enumerate(REFERENCES) if got[k] != r[3]] == []
 
 
 def test_mapping_tables(spark):
@@ -174,8 +178,20 @@ def test_mapping_tables(spark):
     assert sorted(tuple(r) for r in canonical.map_to_list(df, ref).collect()) == [(1, "13"), (1, "13"), (2, "none")]
     assert {r["code"] for r in canonical.map_to_list(df, ref.limit(0)).collect()} == {"none"}
     assert canonical.map_to_list(df.limit(0), ref).count() == 0
-    with pytest.raises(ValueError):
-        canonical.map_to_list(df, ref, limit=3)
+
+
+def test_search_of_a_large_list(spark):
+    text = F.concat(F.format_string("%07d", "id"), F.repeat(F.lit("x"), (F.col("id") % 400).cast("int")))
+    entries = spark.range(1_000_000).select(text.alias("entry"), F.col("id").cast("string").alias("code"))
+    name = lambda n: f"{n:07d}" + "x" * (n % 400)
+    asked = {name(123_203): 1, name(999_601)[:-1] + "y": 1, "no such text": 2, "": 1}
+    df = spark.createDataFrame(list(asked.items()), "query string, radius int")
+    got = {r["query"]: {(h["d"], h["code"]) for h in r["hits"]} for r in canonical.search(df, entries).collect()}
+    near = {q: [n for size in range(len(q) - r - 7, len(q) + r - 6) if size >= 0 for n in range(size, 1_000_000, 400)] for q, r in asked.items()}
+    want = {q: {(bktree.distance(q, name(n)), str(n)) for n in near[q] if bktree.distance(q, name(n)) <= r} for q, r in asked.items()}
+    assert got == {q: found for q, found in want.items() if found} and len(got) == 2
+    exact = df.select("query", F.lit(0).alias("radius"))
+    assert [r["hits"][0]["code"] for r in canonical.search(exact, entries).collect()] == ["123203"]
 
 
 PEOPLE = [
