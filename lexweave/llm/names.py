@@ -5,19 +5,26 @@
    organisation (told by words of trade or legal form) a core, a trade and a
    form, with abbreviations undone. Equal readings are pre-aggregated to one
    profile, so many rows of one spelling are one node.
+   Which of two words is the family name is told by the nickname table, else by
+   how often each stands as family or given name in names that leave no doubt
+   (``Family, Given`` and initials), counted over all names.
 2. Blocking. Family names and cores (their sorted tokens) are blocked by what is
    left of their letters without as many as slips are allowed, so that any two
    that are alike have a block in common. Inside a block they are compared by
-   Jaro-Winkler and edit distance; connected components of what is alike are families.
-3. Deciding. Inside a family, given names are compared by Jaro-Winkler, edit
+   Jaro-Winkler and edit distance.
+3. Heads. A spelling that may be a slip of a more frequent one has the nearest
+   such head; whether a spelling is a head hangs on the more frequent ones only
+   and is settled in rounds of joins, so no family is gathered anywhere.
+4. Deciding. Among profiles of one head, given names are compared by Jaro-Winkler, edit
    distance and the nickname table. A full given name decides; an initial, a
    nickname of two names or a missing country goes to the one person it fits,
    and to nobody if it fits several.
-4. Clusters are the connected components of the accepted pairs.
+5. Clusters are the connected components of the accepted pairs.
 
-Scale: only distinct family names are compared and only inside blocks; a
-family is a group of distinct profiles, split further by the given name's
-initial when it is large (accepted pairs agree in it); components run as joins.
+Scale: only distinct family names are compared and only inside blocks. What is
+decided together is the distinct profiles of one head and one class of initials
+(persons) or one trade (organisations), as no pair is accepted across these;
+this holds at every size. Components run as joins.
 
 Defined results: null, blank, ``-``, ``N/A`` and names without a word mean
 nobody and are linked to nothing. Repeated rows are linked to one another.
@@ -30,7 +37,7 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 from itertools import combinations
 
 import pandas as pd
@@ -72,8 +79,6 @@ FORMS = {
     "foundation": "fdn found", "association": "assn ass'n assoc", "llc": "l.l.c", "plc": "p.l.c", "ag": "a.g",
 }
 _FILLERS = {"the", "and", "house", "of", "&"}
-#: Profiles of a family from which it is split by initials.
-LARGE = 20_000
 #: Letters above which a name is blocked by its parts.
 LONG = 21
 
@@ -193,9 +198,11 @@ def _vocabulary_word(word: str) -> tuple[str, str] | None:
     return None
 
 
-def read(name: str | None) -> tuple[str, str, str, str, str] | None:
+def read(name: str | None, roles: dict[str, tuple[int, int]] | None = None) -> tuple[str, str, str, str, str] | None:
     """(kind, family, given, middle, trade) of a name; None where it names nobody.
 
+    ``roles`` tells of words how often they stand as family and as given name elsewhere.
+
     For an organisation family is the core, given the legal form and trade its
     trade. A person's given is a full name (with other readings after ``|``)
     or one letter; middle is the letters after it.
@@ -234,7 +241,9 @@ def read(name: str | None) -> tuple[str, str, str, str, str] | None:
     else:
         family = [t for t in long if t not in known]
         if not family or len(family) == len(long):
-            # No table helps: the word in capitals beside one that isn't, else the longest, else the last.
+            family = _by_roles(long, roles or {})
+        if not family:
+            # Nothing helps: the word in capitals beside one that isn't, else the longest, else the last.
             capitals = [fold(w) for w in re.findall(r"[^\W\d_]{2,}", name or "") if w.isupper()]
             family = [t for t in long if t in capitals] if 0 < len(capitals) < len(long) else []
             family = family or [max(long, key=lambda t: (len(t), long.index(t)))]
@@ -246,6 +255,30 @@ def read(name: str | None) -> tuple[str, str, str, str, str] | None:
     return "person", " ".join(sorted(family)), given, middle[:1], ""
 
 
+def _by_roles(words: list[str], roles: dict[str, tuple[int, int]]) -> list[str]:
+    """Of the words of a name those that are family names elsewhere; none if that doesn't tell them apart."""
+    share = {w: (f + 0.5) / (f + g + 1) for w in words for f, g in [roles.get(w, (0, 0))]}
+    most, least = max(share.values()), min(share.values())
+    return [w for w in words if share[w] == most] if most >= least + 0.2 else []
+
+
+def evidence(name: str | None) -> tuple[list[str], list[str], list[str]]:
+    """(family, given, open) words: those whose place leaves no doubt, and those of a person's name that leaves it open."""
+    got = read(name)
+    if got is None or got[0] == "org":
+        return [], [], []
+    words = [w for w in re.findall(r"[^\W\d_]+(?:['-][^\W\d_]+)*", fold(name or "")) if w not in TITLES and w not in PROFESSIONS]
+    long = [w for w in words if len(w) > 1]
+    first, comma, rest = fold(name or "").partition(",")
+    lead = [w for w in re.findall(r"[^\W\d_]+(?:['-][^\W\d_]+)*", first) if w in long]
+    after = [w for w in re.findall(r"[^\W\d_]+(?:['-][^\W\d_]+)*", rest) if w in long]
+    if comma and lead and after:
+        return lead, after, []
+    if len(long) == 1:
+        return (long, [], []) if len(words) > 1 else ([], [], [])
+    return [], [], long
+
+
 def _allowed(size: int) -> int:
     """Slips that two names may be apart of which the shorter has so many letters."""
     return 0 if size < 4 else 1 if size < 7 else 2 if size < 9 else 3
@@ -276,11 +309,25 @@ def block_keys(words: str) -> set[str]:
 _PROFILE = "tbl string, id bigint, kind string, family string, given string, middle string, trade string, country string"
 
 
+def _evidence_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame([(n, *evidence(n)) for n in batch["name"]], columns=["name", "family", "given", "open"])
+
+
+def _with_roles(rows: DataFrame) -> DataFrame:
+    """rows with ``roles``: of the words of a name that leaves its family name open, how often each is family and given name."""
+    told = durable(spread(rows.select("name").distinct()).mapInPandas(_evidence_batches, "name string, family array<string>, given array<string>, open array<string>"))
+    each = [told.select(F.explode(c).alias("word"), F.lit(1 - k).alias("f"), F.lit(k).alias("g")) for k, c in enumerate(("family", "given"))]
+    counts = each[0].unionByName(each[1]).groupBy("word").agg(F.sum("f").alias("f"), F.sum("g").alias("g"))
+    roles = told.select("name", F.explode("open").alias("word")).join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("word", "f", "g")).alias("roles"))
+    return rows.join(roles, "name", "left")
+
+
 def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for tbl, key, name, country in zip(batch["tbl"], batch["id"], batch["name"], batch["country"]):
-            got = read(name)
+        for tbl, key, name, country, roles in zip(batch["tbl"], batch["id"], batch["name"], batch["country"], batch["roles"]):
+            got = read(name, {r["word"]: (r["f"], r["g"]) for r in roles} if roles is not None else None)
             if got:
                 kind, family, given, middle, trade = got
                 rows.append((tbl, key, kind, family, given, middle, trade, (country or "").strip().upper()))
@@ -295,50 +342,49 @@ def _key_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _compare_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of alike family names in each block."""
+    """Pairs of alike family names in each block, with their slips."""
     for batch in batches:
-        out = set()
+        out = {}
         for tbl, kind, block in zip(batch["tbl"], batch["kind"], batch["families"]):
-            out.update((tbl, kind, f, g) for f, g in combinations(sorted(block), 2) if alike(f, g))
-        yield pd.DataFrame(sorted(out), columns=["tbl", "kind", "fa", "fb"])
+            for f, g in combinations(sorted(block), 2):
+                if alike(f, g) and (tbl, kind, f, g) not in out:
+                    out[tbl, kind, f, g] = min(slips(f, g), slips(_umlaut(f), _umlaut(g)))
+        yield pd.DataFrame([(*k, d) for k, d in sorted(out.items())], columns=["tbl", "kind", "fa", "fb", "d"])
 
 
-def _heads(names: dict[str, int]) -> dict[str, str]:
-    """Each spelling's head: the nearest of the more frequent spellings that it may be a slip of.
+def heads(names: DataFrame, near: DataFrame) -> DataFrame:
+    """(tbl, kind, family, head) of the spellings that are a slip of another.
 
-    ``names`` counts distinct profiles, so repeated rows change nothing. What
-    counts is how often a spelling recurs beside its head: one that recurs nearly
-    as often is hardly a slip of many letters, and one that doesn't recur may be.
+    ``names`` (tbl, kind, family, n) counts distinct profiles, so repeated rows change
+    nothing; ``near`` (tbl, kind, fa, fb, d) has the alike pairs. A spelling's head is the
+    nearest of the more frequent heads that it may be a slip of; without one it is a
+    head itself. What counts is how often a spelling recurs beside its head: one that
+    recurs nearly as often is hardly a slip of many letters, and one that doesn't may be.
     """
-    heads: dict[str, str] = {}
-    centres: list[str] = []
-    for f in sorted(names, key=lambda f: (-names[f], f)):
-        again = names[f] - 1
-        near = []
-        for k, c in enumerate(centres):
-            if alike(f, c):
-                d = min(slips(f, c), slips(_umlaut(f), _umlaut(c)))
-                if d <= (3 if 16 * again <= names[c] else 2 if 2 * again <= names[c] else 1):
-                    near.append((d, k, c))
-        heads[f] = min(near)[2] if near else f
-        if not near:
-            centres.append(f)
-    return heads
-
-
-def decide(rows: list[tuple[int, str, str, str, str, str, int]], kind: str) -> list[tuple[int, int]]:
-    """Accepted pairs among the profiles (pid, family, given, middle, trade, country, n) of one family."""
-    counts: dict[str, int] = defaultdict(int)
-    for row in rows:
-        counts[row[1]] += 1
-    heads = _heads(counts)
-    pairs: list[tuple[int, int]] = []
-    groups: dict[tuple, list[tuple]] = defaultdict(list)
-    for row in rows:
-        groups[(heads[row[1]], row[4])].append(row)
-    for members in groups.values():
-        pairs.extend(_organisations(members) if kind == "org" else _persons(members))
-    return pairs
+    key = ["tbl", "kind"]
+    at = [names.select(*key, F.col("family").alias(f), F.col("n").alias(n)) for f, n in (("fa", "na"), ("fb", "nb"))]
+    pairs = near.join(at[0], [*key, "fa"]).join(at[1], [*key, "fb"])
+    first = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("fa") < F.col("fb")))
+    pick = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
+    ordered = pairs.select(*key, pick("fa", "fb").alias("c"), pick("na", "nb").alias("nc"), pick("fb", "fa").alias("f"), pick("nb", "na").alias("nf"), "d")
+    again = F.col("nf") - 1
+    edges = durable(ordered.where(F.col("d") <= F.when(16 * again <= F.col("nc"), 3).when(2 * again <= F.col("nc"), 2).otherwise(1)))
+    # Round by round: who has a head before it is none; who has only such before it is one; the others wait.
+    open_ = edges.select(*key, "f").distinct()
+    decided = durable(edges.select(*key, F.col("c").alias("f")).distinct().join(open_, [*key, "f"], "left_anti").withColumn("head", F.lit(True)))
+    open_ = durable(open_)
+    while not open_.isEmpty():
+        state = decided.withColumnRenamed("f", "c")
+        told = edges.join(open_, [*key, "f"], "left_semi").join(state, [*key, "c"], "left").groupBy(*key, "f").agg(
+            F.max(F.coalesce("head", F.lit(False))).alias("under"), F.bool_and(F.col("head").isNotNull()).alias("all")
+        )
+        new = durable(told.where("under or all").select(*key, "f", (~F.col("under")).alias("head")))
+        decided = durable(decided.unionByName(new))
+        open_ = durable(open_.join(new, [*key, "f"], "left_anti"))
+    centres = decided.where("head").select(*key, F.col("f").alias("c"))
+    best = F.min(F.struct("d", (-F.col("nc")).alias("n"), "c"))
+    under = edges.join(decided.where("not head").select(*key, "f"), [*key, "f"], "left_semi").join(centres, [*key, "c"], "left_semi")
+    return under.groupBy(*key, "f").agg(best.alias("best")).select(*key, F.col("f").alias("family"), F.col("best.c").alias("head"))
 
 
 class _Cluster:
@@ -429,10 +475,10 @@ def _persons(rows: list[tuple]) -> list[tuple[int, int]]:
 
 def _decide_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     out: list[tuple[int, int]] = []
-    for (_, kind, _, _), part in pdf.groupby(["tbl", "kind", "head", "part"], sort=False):
+    for (_, kind, _, _, _), part in pdf.groupby(["tbl", "kind", "head", "trade", "part"], sort=False):
         if len(part) > 1:
             rows = list(zip(part["pid"], part["family"], part["given"], part["middle"], part["trade"], part["country"], part["n"]))
-            out.extend(decide(rows, kind))
+            out.extend(_organisations(rows) if kind == "org" else _persons(rows))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
@@ -440,40 +486,28 @@ def _buckets(df: DataFrame, per: int = 20_000) -> int:
     return max(1, -(-df.count() // per))
 
 
-def link_names(tables: dict[str, DataFrame], large: int = LARGE) -> DataFrame:
+def link_names(tables: dict[str, DataFrame]) -> DataFrame:
     """(tbl, id, entity): the rows that name somebody, with the entity that they mean."""
     every = None
     for tbl, df in tables.items():
         part = df.select(F.lit(tbl).alias("tbl"), F.col("id").cast("bigint").alias("id"), "name", "country")
         every = part if every is None else every.unionByName(part)
     fields = ["tbl", "kind", "family", "given", "middle", "trade", "country"]
-    rows = durable(every.mapInPandas(_read_batches, _PROFILE).withColumn("pid", F.xxhash64(*fields)))
+    rows = durable(_with_roles(every).mapInPandas(_read_batches, _PROFILE).withColumn("pid", F.xxhash64(*fields)))
     profiles = rows.groupBy("pid", *fields).agg(F.count("*").alias("n"))
 
-    names = profiles.select("tbl", "kind", "family").distinct()
+    names = durable(profiles.groupBy("tbl", "kind", "family").agg(F.count("*").alias("n")))
     count = _buckets(rows, 2_000)
-    keyed = spread(names).mapInPandas(_key_batches, "tbl string, kind string, family string, keys array<string>")
+    keyed = spread(names.select("tbl", "kind", "family")).mapInPandas(_key_batches, "tbl string, kind string, family string, keys array<string>")
     hashed = keyed.select("tbl", "kind", "family", F.explode("keys").alias("key")).withColumn("key", F.xxhash64("key"))
     blocks = hashed.groupBy("tbl", "kind", "key").agg(F.sort_array(F.collect_set("family")).alias("families")).where(F.size("families") > 1)
-    near = blocks.select("tbl", "kind", "families").distinct().mapInPandas(_compare_blocks, "tbl string, kind string, fa string, fb string")
+    near = blocks.select("tbl", "kind", "families").distinct().mapInPandas(_compare_blocks, "tbl string, kind string, fa string, fb string, d int").distinct()
 
-    def node(family: str):
-        return F.concat_ws("\u0001", "tbl", "kind", family)
-
-    families = components(near.select(node("fa").alias("a"), node("fb").alias("b")).distinct())
-    placed = (
-        profiles.withColumn("node", node("family"))
-        .join(families, "node", "left")
-        .withColumn("head", F.coalesce("component", "node"))
-        .drop("node", "component")
-    )
-    sizes = placed.groupBy("head").agg(F.count("*").alias("size")).where(F.col("size") > large)
-    # At most one in `large` profiles' families can be large, so the optimiser decides how to join.
-    # Accepted pairs agree in the class of their initial, those of organisations in their trade.
+    placed = profiles.join(heads(names, near), ["tbl", "kind", "family"], "left").withColumn("head", F.coalesce("head", "family"))
+    # Accepted pairs of persons agree in the class of their initial.
     initial = F.translate(F.substring("given", 1, 1), "".join(_CLASS_OF), "".join(_CLASS_OF.values()))
-    part = F.when(F.col("kind") == "org", F.col("trade")).otherwise(initial)
-    placed = placed.join(sizes, "head", "left").withColumn("part", F.when(F.col("size").isNotNull(), part).otherwise(""))
-    bucket = F.pmod(F.xxhash64("head", "part"), F.lit(count)).alias("bucket")
+    placed = placed.withColumn("part", F.when(F.col("kind") == "org", "").otherwise(initial))
+    bucket = F.pmod(F.xxhash64("tbl", "kind", "head", "trade", "part"), F.lit(count)).alias("bucket")
     accepted = durable(placed.groupBy(bucket).applyInPandas(_decide_bucket, "a bigint, b bigint"))
     clusters = components(accepted)
     return rows.join(clusters.withColumnRenamed("node", "pid"), "pid", "left").select(
@@ -481,6 +515,13 @@ def link_names(tables: dict[str, DataFrame], large: int = LARGE) -> DataFrame:
     )
 
 
+def entities(linked: DataFrame) -> DataFrame:
+    """(tbl, id, entity, links): every row that names somebody, its entity and how many other rows mean the same."""
+    linked = durable(linked)
+    sizes = linked.groupBy("tbl", "entity").agg((F.count("*") - 1).alias("links"))
+    return linked.join(sizes, ["tbl", "entity"]).select("tbl", "id", "entity", "links")
+
+
 def name_pairs(linked: DataFrame) -> DataFrame:
     """(tbl, id_a, id_b), id_a < id_b: all pairs of rows that mean the same."""
     linked = durable(linked)

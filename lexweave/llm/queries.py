@@ -13,6 +13,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.name_pairs(names.link_names(tables))
 
 
+def p2_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per name with its class and the number of its links."""
+    tables = {t: table(spark, sf_dir, t) for t in ("representative", "decisionbodymember", "party")}
+    return names.entities(names.link_names(tables))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.map_to_list(table(spark, sf_dir, "conclusion"), table(spark, sf_dir, "article_list"))
 
@@ -42,5 +48,5 @@ def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p7_ids, p8_mix, p8_shares, p9_found, p9_shares, p9_classes)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p7_ids, p8_mix, p8_shares, p9_found, p9_shares, p9_classes)}
 ORACLES: dict[str, str] = {}
