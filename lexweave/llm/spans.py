@@ -47,6 +47,8 @@ PHRASE = 160
 #: Phrases that a shard's automaton is meant to hold, and texts that one task is meant to stream through it.
 SHARD = 4_000
 TEXTS = 4_000
+#: Passages of one phrase whose runs one task compares.
+PASSAGES = 10_000
 #: Positions of a text whose phrases go to one shard: bounds what a very long text brings.
 _STRETCH = 50_000
 _BASE = 0x9E3779B97F4A7C15
@@ -255,23 +257,26 @@ def _runs(named: DataFrame, span: int, phrase: int) -> tuple[DataFrame, DataFram
     each = durable(each.withColumn("first", first).withColumn("last", last).where("last >= first"))
     many = each.groupBy("h").agg(F.count("*").alias("n"))
     alone = each.join(many.where("n = 1"), "h", "left_semi").where("a < b")  # one passage: all its runs are one class
-    runs = durable(
-        each.join(many.where("n > 1"), "h", "left_semi")
-        .select("h", "p1", "p2", "a", "b", "passage", F.explode(F.sequence("first", "last")).alias("start"))
-        .withColumn("run", F.expr(f"substring(passage, start + 1, {span})"))
-        .select("h", "p1", "p2", "a", "b", "start", F.xxhash64("run", F.lit(3)).alias("c1"), F.xxhash64("run", F.lit(4)).alias("c2"))
-    )
-    # A passage holds an equal run twice at most as the phrase recurs in it, so members are told apart before they are summed.
-    sets = runs.select("h", "c1", "c2", "p1", "p2", "a", "b").distinct().groupBy("h", "c1", "c2").agg(
-        F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n"), F.sum(F.col("p1").cast("decimal(38,0)")).alias("s"),
+    # Equal runs have the phrase at the same place k in them. A phrase's passages go to one task, which explodes their
+    # runs, or to several, each for its part of the places; so passages are shuffled and runs, of which there are many, aren't.
+    blocks = F.least(F.ceil(F.col("n") / PASSAGES), F.lit(span - phrase + 1)).cast("int")
+    several = each.join(many.where("n > 1"), "h").withColumn("blocks", blocks).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    starts = F.filter(F.sequence("first", "last"), lambda at: F.pmod(F.col("left") - at, F.col("blocks")) == F.col("block"))
+    runs = (
+        several.repartition("h", "block").select("h", "block", "p1", "p2", "a", "b", "left", "passage", F.explode(starts).alias("start"))
+        .withColumn("run", F.expr(f"substring(passage, start + 1, {span})")).withColumn("k", F.col("left") - F.col("start"))
+        .select("h", "block", "p1", "p2", "a", "b", "start", F.xxhash64("k", "run", F.lit(3)).alias("c1"), F.xxhash64("k", "run", F.lit(4)).alias("c2"))
+    )
+    same = Window.partitionBy("h", "block", "c1", "c2")
+    held = runs.select(
+        "h", "block", "c1", "c2", "p1", "p2", "start", F.min("a").over(same).alias("a"), F.max("b").over(same).alias("b"),
+        F.count("*").over(same).alias("n"), F.sum(F.col("p1").cast("decimal(38,0)")).over(same).alias("s"),
     ).where("a < b")
-    kept = sets.groupBy("h", "n", "s").agg(F.min(F.struct("c1", "c2")).alias("c")).select("h", "c.c1", "c.c2")
-    members = runs.join(kept, ["h", "c1", "c2"], "left_semi").select("c1", "c2", "p1", "p2").distinct()
-    members = members.unionByName(alone.select(F.col("p1").alias("c1"), F.col("p2").alias("c2"), "p1", "p2"))
+    alike = Window.partitionBy("h", "block", "n", "s")
+    kept = held.withColumn("least", F.min(F.struct("c1", "c2")).over(alike)).where("least.c1 = c1 and least.c2 = c2")
+    members = kept.select("c1", "c2", "p1", "p2").unionByName(alone.select(F.col("p1").alias("c1"), F.col("p2").alias("c2"), "p1", "p2"))
     # Shared runs of a passage all hold the phrase, so together they are one stretch.
-    shared = runs.join(sets.select("h", "c1", "c2"), ["h", "c1", "c2"], "left_semi").groupBy("p1", "p2").agg(
-        F.min("start").alias("lo"), (F.max("start") + span).alias("hi")
-    )
+    shared = held.groupBy("p1", "p2").agg(F.min("start").alias("lo"), (F.max("start") + span).alias("hi"))
     shared = shared.unionByName(alone.select("p1", "p2", F.col("first").alias("lo"), (F.col("last") + span).alias("hi")))
     return members, shared
 

@@ -108,7 +108,7 @@ def test_mixing_plan():
     assert mixing.capped_mean(mixing.np.array([0.7]), 1)[0] == pytest.approx(1 - mixing.math.exp(-0.7))
 
 
-def test_shared_spans(spark):
+def test_shared_spans(spark, monkeypatch):
     rng = random.Random(6)
     letters = "abcdefghij é😀\n"
     word = lambda n: "".join(rng.choice(letters) for _ in range(n))
@@ -128,7 +128,8 @@ def test_shared_spans(spark):
             if len(where[t[k : k + span]]) > 1:
                 covered[k : k + span] = b"\1" * span
         shared[d] = sum(covered)
-    for shard in (10_000, 7):  # one automaton, many
+    for shard, passages in ((10_000, 10_000), (7, 2)):  # one automaton and task, many
+        monkeypatch.setattr(spans, "PASSAGES", passages)
         assert {tuple(r) for r in spans.shared_pairs(df, span, 32, shard).collect()} == want
         rows = spans.shared_shares(df, span, 32, shard).collect()
         assert {r["doc_id"]: r["shared_chars"] for r in rows} == shared
