@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from .cases import consistent, windowless_rank
 from .relational import dense_ids
 
-# Variables of a case in the order of their index; the second list holds the packed ones.
+# Variables of a case in the order of their index; respondent stands twice and has its second place.
 SCALARS = ["itemid", "respondent", "rank", "applicability", "decisiondate", "doctypebranch", "importance", "introductiondate",
-           "judgementdate", "originatingbody_type", "originatingbody_name", "separateopinion", "typedescription"]
+           "judgementdate", "originatingbody_type", "originatingbody_name", "respondent", "separateopinion", "typedescription"]
 LISTS = ["article", "documentcollectionid", "externalsources", "extractedappno", "kpthesaurus", "parties", "scl", "representedby"]
 
 
 def feature_index() -> dict[str, int]:
+    """Each variable's index; index 1 is nobody's."""
     return {name: k for k, name in enumerate([*SCALARS, *LISTS])}
 
 

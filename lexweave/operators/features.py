@@ -37,7 +37,7 @@ def vocabulary(docs: DataFrame, size: int, column: str = "tokens") -> DataFrame:
 
 
 def bag_of_words(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", column: str = "tokens") -> DataFrame:
-    """(key, token_id, tf). Counts are made before the vocabulary is met: one shuffle on key and token.
+    """(key, token_id, tf). Tokens meet the vocabulary, are counted inside their partition, then by one shuffle on key and token id.
 
     The vocabulary has a given size, so it is broadcast.
     """
@@ -70,21 +70,26 @@ def corrected_frequencies(grams: DataFrame) -> DataFrame:
     """(n, gram, count): counts lowered by one for each longer gram that begins with, holds or ends in a gram.
 
     Each of the three is a test of text (``_g``, ``_g_`` and ``g_`` stand in the longer
-    gram), so a longer gram is cut into all texts beside an underscore, which meet
-    the grams by an equal join.
+    gram), so a longer gram is cut into the texts beside an underscore that hold as many
+    underscores as a gram of that order does, which meet the grams by an equal join.
     """
     grams = durable(grams)  # read twice below; the texts are cut into grams once
-    longer = F.col("gram")
+    longer, early, late = F.col("gram"), F.col("early"), F.col("late")
     marks = F.filter(F.sequence(F.lit(1), F.length(longer)), lambda i: F.substring(longer, i, F.lit(1)) == "_")
+    marked = grams.where("n > 1").select("n", "gram", marks.alias("marks"))
+    # A text with n - 1 underscores begins before the mark that leaves as many behind it, and ends likewise.
+    free = F.size("marks") - F.col("n") + 2
+    marked = marked.select("n", "gram", F.slice("marks", F.lit(1), free).alias("early"), F.slice("marks", F.col("n") - 1, free).alias("late"))
 
-    def parts(after, ends) -> Column:
+    def parts(after: Column, ends: Column) -> Column:
         """The distinct texts from a place to each of the places behind it."""
-        return F.array_distinct(F.flatten(F.transform(after, lambda s: F.transform(F.filter(ends, lambda e: e > s), lambda e: F.substring(longer, s + 1, e - s - 1)))))
+        found = F.flatten(F.transform(after, lambda s: F.transform(F.filter(ends, lambda e: e > s), lambda e: F.substring(longer, s + 1, e - s - 1))))
+        return F.array_distinct(F.filter(found, lambda t: F.length(F.replace(t, F.lit("_"), F.lit(""))) <= F.length(t) - F.col("n") + 2))
 
-    any_start = F.sequence(F.lit(0), F.length(longer))
-    any_end = F.sequence(F.lit(1), F.length(longer) + 1)
-    hits = F.concat(parts(marks, any_end), parts(marks, marks), parts(any_start, marks))
-    cut = grams.where("n > 1").select((F.col("n") - 1).alias("n"), F.explode(hits).alias("gram")).where("gram <> ''")
+    any_start = F.sequence(F.lit(0), F.element_at(early, -1) - 1)
+    any_end = F.sequence(F.element_at(late, 1) + 1, F.length(longer) + 1)
+    hits = F.concat(parts(early, any_end), parts(early, late), parts(any_start, late))
+    cut = marked.select("n", F.explode(hits).alias("piece")).where("piece <> ''").select((F.col("n") - 1).alias("n"), F.col("piece").alias("gram"))
     lowered = cut.groupBy("n", "gram").agg(F.count("*").alias("less"))
     return grams.join(lowered, ["n", "gram"], "left").select("n", "gram", (F.col("count") - F.coalesce("less", F.lit(0))).alias("count"))
 

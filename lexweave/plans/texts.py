@@ -12,8 +12,6 @@ from ..sources import lookups
 
 #: The reference's effective limit of tokens.
 TOKENS = 5_000
-# The size of the SQL's vocabulary.
-VOCABULARY = 500
 
 
 def _docs(spark, sf_dir):
@@ -47,7 +45,7 @@ def ngram_frequency_filter(spark, sf_dir):
 
 
 def frequency_correction(spark, sf_dir):
-    return op.corrected_frequencies(op.ngram_counts(_docs(spark, sf_dir), 3, 20))
+    return op.corrected_frequencies(op.ngram_counts(_docs(spark, sf_dir), 4))
 
 
 def normalised_documents(spark, sf_dir):
@@ -85,7 +83,8 @@ def paragraph_strip(spark, sf_dir):
 
 
 def section_tag(spark, sf_dir):
-    return od.tag_sections(_lines(spark, sf_dir))
+    """Sections of the lines in capitals, which stand for first-level titles."""
+    return od.tag_sections(od.in_capitals(_lines(spark, sf_dir)))
 
 
 def tree_parent(spark, sf_dir):
@@ -104,6 +103,25 @@ def parser_choice(spark, sf_dir):
     return od.parser_choice(lines.select("doc_id", style.alias("style")))
 
 
+def title_strip(spark, sf_dir):
+    """Numbered lines without their number."""
+    lines = _lines(spark, sf_dir).withColumn("stripped", fn.strip_title_number(F.col("line")))
+    return lines.where("stripped <> line").select("doc_id", "pos", "stripped")
+
+
+def repeated_tokens(spark, sf_dir):
+    """Each token as many times as it occurs, by size and digest of the text."""
+    texts = op.repeat_tokens(op.token_counts(_tokens(spark, sf_dir)), "token", "n")
+    return texts.select("token", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+def sections_left_out(spark, sf_dir):
+    """The text of documents without their sections on law, procedure and appendices."""
+    nodes = od.tree(od.in_capitals(_lines(spark, sf_dir)))
+    without = od.tag_sections(nodes).where(F.col("section").isin("law", "procedure", "appendix")).select("doc_id", "pos")
+    return od.leaf_text(nodes, without=without).select("doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
 def table_to_text(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("table_id"), F.struct("l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("q")).alias("place"),
@@ -143,14 +161,20 @@ def gazetteer_match(spark, sf_dir):
 _T = r"[\pL\pN_]+|[^\pL\pN_\s\x0b]+"  # RE2 doesn't count the vertical tab as white space
 _D = "with d as (select doc_id, text from documents where text is not null)"
 _TOK = _D + f", tok as (select doc_id, unnest(regexp_extract_all(text, '{_T}')) token from d)"
-_STOP = ", ".join(f"'{w}'" for w in fn.STOPWORDS)
-_MARK = "[" + "".join("''" if m == "'" else m for m in fn.MARKS) + "]"
+# The stop words of the SQL, written by themselves; tokens never hold an apostrophe and letters, so the short forms are left out.
+_STOP = ", ".join(f"'{w}'" for w in (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself they them their theirs "
+    "themselves what which who whom this that these those am is are was were be been being have has had having do does did doing a an the and but if or "
+    "because as until while of at by for with about against between into through during before after above below to from up down in out on off over under "
+    "again further then once here there when where why how all any both each few more most other some such no nor not only own same so than too very s t "
+    "can will just don should now d ll m o re ve y ain aren couldn didn doesn hadn hasn haven isn ma mightn mustn needn shan shouldn wasn weren won wouldn").split())
+_MARK = r'[,"()\\.]'
 _ASCII = "translate(replace(replace(replace(replace(replace(replace({0}, 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'), 'ø', 'o'), 'þ', 'th'), 'ð', 'd'), '" + fn.ACCENTED + "', '" + fn.PLAIN + "')"
 _CLEAN = _D + f""", w as (select doc_id, list_filter(list_transform(list_filter(regexp_extract_all(lower(text), '{_T}'), lambda t: t not in ({_STOP})),
   lambda t: {_ASCII.format(f"regexp_replace(t, '{_MARK}', '', 'g')")}), lambda t: length(t) >= 3) w from d)"""
 _GRAM = _CLEAN + """, g as (select n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], '_'))) gram
   from w, (select unnest([1, 2, 3, 4]) n) where len(w) >= n)"""
-_VOC = _TOK + f""", top as (select token, count(*) n from tok group by token order by n desc, token limit {VOCABULARY}),
+_VOC = _TOK + f""", top as (select token, count(*) n from tok group by token order by n desc, token limit 5000),
   voc as (select *, row_number() over (order by token) - 1 token_id from top),
   b as (select doc_id, token_id, count(*) tf from tok join voc using (token) group by all)"""
 _LINE = _D + r""", line as (select doc_id, unnest(a) line, generate_subscripts(a, 1) - 1 pos from (select doc_id, regexp_split_to_array(text, '\r\n|\n|\r') a from d)),
@@ -166,8 +190,9 @@ _STRIPPED = rf"case when {_NUM} <> '' then regexp_replace({_NUM}, '^[{fn.BLANK}]
 _JUDGE = r"""with line as (select id, regexp_replace(replace(replace(replace(replace(name || ', ' || coalesce(role, ''), 'President', ''), ' Registrar', ''), 'judges', ''), ',', ''), '^\s+|\s+$', '', 'g') line
     from decisionbodymember where name is not null),
   j as (select distinct respondent country, regexp_replace(string_split(docname, ' v. ')[1], '^CASE OF ', '') as name from leading_case union
-    select distinct country, trim(string_split(name, ',')[1]) from decisionbodymember where country = 'TVR' and name like '%,%'),
-  hit as (select id, line, arg_min(name, {'c': country, 'n': name}) judge from line, j where contains(F(line), F(name)) and F(name) <> '' group by id, line)"""
+    select distinct country, trim(string_split(name, ',')[1]) from decisionbodymember where country is not null and name like '%,%'),
+  lf as (select distinct id, line, F(line) form from line), jf as (select country, name, F(name) form from j where F(name) <> ''),
+  hit as (select id, line, arg_min(name, {'c': country, 'n': name}) judge from lf, jf where contains(lf.form, jf.form) group by id, line)"""
 
 
 def _match_sql(text: str) -> str:
@@ -182,10 +207,6 @@ ORACLES = {
     "token_clean": _CLEAN + " select token, count(*) n from (select unnest(w) token from w) group by token",
     "ngram_sizes": _CLEAN + " select doc_id, len(w) n1, greatest(len(w) - 1, 0) n2, greatest(len(w) - 2, 0) n3, greatest(len(w) - 3, 0) n4 from w",
     "ngram_frequency_filter": _GRAM + " select n, gram, count(*) as count from g group by n, gram having count(*) >= 60",
-    "frequency_correction": _GRAM + """, c as (select n, gram, count(*) cnt from g where n <= 3 group by n, gram having count(*) >= 20),
-        top as (select * from c qualify row_number() over (partition by n order by cnt desc, gram) <= 300)
-        select a.n, a.gram, any_value(a.cnt) - coalesce(sum(case when contains(b.gram, '_' || a.gram) then 1 else 0 end + case when contains(b.gram, '_' || a.gram || '_') then 1 else 0 end
-          + case when contains(b.gram, a.gram || '_') then 1 else 0 end), 0) as count from top a left join top b on b.n = a.n + 1 group by a.n, a.gram""",
     "normalised_documents": _CLEAN + """ select doc_id, len(w) + greatest(len(w) - 1, 0) + greatest(len(w) - 2, 0) + greatest(len(w) - 3, 0) n, w[1] as first,
         nullif(array_to_string(w[greatest(len(w) - 3, 1):], '_'), '') as last from w where len(w) >= 4 or len(w) = 0
         union all select doc_id, (len(w) * (len(w) + 1)) // 2, w[1], array_to_string(w, '_') from w where len(w) between 1 and 3""",
@@ -195,7 +216,15 @@ ORACLES = {
         k as (select * from r where abs(w) > 1e-12) select doc_id, token_id, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) w from k""",
     "bow_lines": _VOC + " select doc_id, string_agg(token_id || ':' || tf, ' ' order by token_id) line from b group by doc_id",
     "paragraph_strip": _LINE + f" select doc_id, pos, {_STRIPPED} stripped from l where {_STRIPPED} <> line",
-    "section_tag": _LINE + _LABEL + " select doc_id, pos, arg_min(section, priority) section from l join lab on starts_with(upper(trim(line)), label) group by doc_id, pos",
+    "section_tag": _LINE + _LABEL + " select doc_id, pos, arg_min(section, priority) section from l join lab on starts_with(upper(trim(line)), label) where upper(line) = line and lower(line) <> line group by doc_id, pos",
+    "title_strip": _LINE + f" select doc_id, pos, {_STRIPPED} stripped from l where {_STRIPPED} <> line",
+    "repeated_tokens": _TOK + ", r as (select token, rtrim(repeat(token || ' ', count(*)), ' ') t from tok group by token) select token, length(t) n_chars, md5(t) digest from r",
+    "sections_left_out": _LINE + _LABEL + f""", h as (select *, upper(line) = line and lower(line) <> line top from l),
+        r as (select *, max(case when top then pos end) over (partition by doc_id order by pos) root from h),
+        tag as (select doc_id, pos, arg_min(section, priority) section from r join lab on top and starts_with(upper(regexp_replace(line, '^[{fn.BLANK}]+|[{fn.BLANK}]+$', '', 'g')), label) group by doc_id, pos),
+        k as (select * from r where root is not null and (doc_id, root) not in (select (doc_id, pos) from tag where section in ('law', 'procedure', 'appendix'))),
+        leaf as (select * from k where not top or not exists (select 1 from r u where u.doc_id = k.doc_id and u.root = k.pos and not u.top)),
+        txt as (select doc_id, string_agg({_STRIPPED}, chr(10) order by pos) as text from leaf group by doc_id) select doc_id, length(text) n_chars, md5(text) digest from txt""",
     "tree_parent": _LEVEL + " select doc_id, pos, level, parent_pos from t",
     "leaf_text": _LEVEL + f""", leaf as (select * from t where not exists (select 1 from t u where u.doc_id = t.doc_id and u.parent_pos = t.pos)),
         txt as (select doc_id, string_agg({_STRIPPED}, chr(10) order by pos) as text from leaf group by doc_id) select doc_id, length(text) n_chars, md5(text) digest from txt""",
@@ -217,6 +246,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         token_counts, document_frequency, token_clean, ngram_sizes, ngram_frequency_filter, frequency_correction, normalised_documents, vocab_topk, bow,
-        tfidf, bow_lines, paragraph_strip, section_tag, tree_parent, leaf_text, parser_choice, table_to_text, judge_match, judge_rejects, gazetteer_match,
+        tfidf, bow_lines, paragraph_strip, section_tag, tree_parent, leaf_text, parser_choice, table_to_text, title_strip, repeated_tokens, sections_left_out, judge_match, judge_rejects, gazetteer_match,
     )
 }

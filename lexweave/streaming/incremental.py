@@ -17,10 +17,10 @@ def load_stream(spark: SparkSession, source: str, schema: T.StructType, target:
 
     def add(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        try:
-            loaded = session.read.schema(schema).parquet(target)
-        except Exception:  # noqa: BLE001 - the first batch finds no target
-            loaded = session.createDataFrame([], schema)
+        path = session.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+        there = path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        # Only the first batch finds no target; a target that can't be read is an error.
+        loaded = session.read.schema(schema).parquet(target) if there else session.createDataFrame([], schema)
         load_new(loaded, batch, key).write.mode("append").parquet(target)
 
     stream = spark.readStream.schema(schema).parquet(source)
