@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` uses it inside other lambdas."""
+    return F.transform(F.array(value), then).getItem(0)
+
 
 def strip(text: Column) -> Column:
     """Outer white space of any kind removed."""
@@ -25,17 +31,19 @@ def split_articles(text: Column, strict: bool = False) -> Column:
     By default "refine" is a test of text prefix, so ``1`` goes before ``14``;
     ``strict`` asks for the same article or one of its paragraphs.
     """
-    parts = F.split(text, r"\+")
 
     def kept(part: Column, after: Column) -> Column:
         refined = (after == part) | after.startswith(F.concat(part, F.lit("-"))) if strict else after.startswith(part)
         return F.when(~refined, part)
 
-    head = F.slice(parts, 1, F.size(parts) - 1)
-    tail = F.slice(parts, 2, F.size(parts))
-    earlier = F.filter(F.zip_with(head, tail, kept), lambda x: x.isNotNull())
-    both = F.concat(F.array(F.element_at(parts, -1)), earlier)
-    return F.transform(both, lambda x: F.regexp_replace(x, r"^\W", ""))
+    def each(parts: Column) -> Column:
+        head = F.slice(parts, 1, F.size(parts) - 1)
+        tail = F.slice(parts, 2, F.size(parts))
+        earlier = F.filter(F.zip_with(head, tail, kept), lambda x: x.isNotNull())
+        both = F.concat(F.array(F.element_at(parts, -1)), earlier)
+        return F.transform(both, lambda x: F.regexp_replace(x, r"^\W", ""))
+
+    return let(F.split(text, r"\+"), each)
 
 
 def base_article(article: Column) -> Column:

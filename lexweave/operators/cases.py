@@ -12,15 +12,18 @@ BLOCKED = ("001-154354", "001-108395", "001-79411")
 _FINDINGS = ("violation", "no-violation")
 
 
-def current(cases_info: DataFrame) -> DataFrame:
-    """The latest row of each case; a fetch of overlapping years returns a case twice."""
+def current(cases_info: DataFrame, *columns: str) -> DataFrame:
+    """The latest row of each case, with the given columns or all; a fetch of overlapping years returns a case twice.
+
+    Name the columns that are wanted: no others are read or shuffled.
+    """
     # max_by over the row keeps one row per key while aggregating map-side; no window holds a key's versions.
-    rest = [c for c in cases_info.columns if c != "itemid"]
+    wanted = list(columns) or cases_info.columns
+    rest = [c for c in wanted if c != "itemid"]
     return (
         cases_info.groupBy("itemid")
-        .agg(F.max_by(F.struct(*rest), F.struct("fetched_at", "record_id")).alias("r"))
-        .select("itemid", "r.*")
-        .select(*cases_info.columns)
+        .agg(F.max_by(F.struct(*[F.col(c) for c in rest] or [F.lit(0).alias("_")]), F.struct("fetched_at", "record_id")).alias("r"))
+        .select(*[F.col("itemid") if c == "itemid" else F.col(f"r.{c}") for c in wanted])
     )
 
 

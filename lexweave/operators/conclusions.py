@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cases import base_article, element_type, split_articles, strip
+from ..functions.cases import base_article, element_type, let, split_articles, strip
 
 _NO_ARTICLES = "cast(array() as array<struct<article:string,base_article:string>>)"
 _EMPTY = "cast(array() as array<struct<element:string,details:array<string>,mentions:array<string>>>)"
@@ -58,12 +58,15 @@ def raw_elements(ccl: Column, keep_plain: bool = False) -> Column:
             .otherwise(acc)
         )
 
-    taken = F.reduce(shaped, F.expr(_EMPTY), take)
-    if keep_plain:
-        return taken
-    final = F.try_element_at(shaped, F.lit(-1))["heads"]
-    rest = F.when(F.size(final) > 1, F.transform(F.slice(final, 1, F.size(final) - 1), plain)).otherwise(F.expr(_EMPTY))
-    return F.concat(taken, rest)
+    def whole(shaped: Column) -> Column:
+        taken = F.reduce(shaped, F.expr(_EMPTY), take)
+        if keep_plain:
+            return taken
+        final = F.try_element_at(shaped, F.lit(-1))["heads"]
+        rest = F.when(F.size(final) > 1, F.transform(F.slice(final, 1, F.size(final) - 1), plain)).otherwise(F.expr(_EMPTY))
+        return F.concat(taken, rest)
+
+    return let(shaped, whole)
 
 
 def element_articles(element: Column) -> Column:
@@ -74,42 +77,72 @@ def element_articles(element: Column) -> Column:
     elements that name a protocol's article come twice, without and with base.
     """
     none = F.expr(_NO_ARTICLES)
-    low = F.lower(element)
-    words = F.filter(F.split(F.regexp_extract(low, r"^(.*?)protocol", 1), r"\s+"), lambda w: w != "")
-    number = F.regexp_extract(low, r"protocol no\.\s*(\S+)", 1)
-    protocol = F.concat(F.lit("p"), number, F.lit("-"), F.try_element_at(words, F.lit(-2)))
-    joined = F.regexp_replace(F.regexp_replace(low, r" and art\. ", "+"), r" and of | and ", "+")
-    inside = F.regexp_extract(F.regexp_extract(joined, r"(?:^|\s)(art\S*)", 1), r"^art\.(.+)$", 1)
-    plain = F.when(inside != "", inside).otherwise(F.regexp_extract(joined, r"(?:^|\s)art\S*\s+(\S+)", 1))
+    other = element_type(element) == "other"
 
     def both(a: Column) -> Column:
         return F.struct(a.alias("article"), base_article(a).alias("base_article"))
 
-    twice = F.array(F.struct(protocol.alias("article"), F.lit(None).cast("string").alias("base_article")), both(protocol))
-    other = element_type(element) == "other"
-    return (
-        F.when(low.contains("protocol"), F.when((number != "") & protocol.isNotNull(), F.when(other, twice).otherwise(F.array(both(protocol)))))
-        .when(~other & (plain != ""), F.transform(split_articles(plain), both))
-        .otherwise(none)
-    )
+    def of_protocol(low: Column) -> Column:
+        words = F.filter(F.split(F.regexp_extract(low, r"^(.*?)protocol", 1), r"\s+"), lambda w: w != "")
+        number = F.regexp_extract(low, r"protocol no\.\s*(\S+)", 1)
+        name = F.when(number != "", F.concat(F.lit("p"), number, F.lit("-"), F.try_element_at(words, F.lit(-2))))
+        bare = F.lit(None).cast("string").alias("base_article")
+        return let(name, lambda a: F.when(a.isNotNull(), F.when(other, F.array(F.struct(a.alias("article"), bare), both(a))).otherwise(F.array(both(a)))))
 
+    def of_convention(low: Column) -> Column:
+        joined = F.regexp_replace(F.regexp_replace(low, r" and art\. ", "+"), r" and of | and ", "+")
+        named = F.regexp_extract(joined, r"(?:^|\s)art(?:\.(\S+)|\S*\s+(\S+))", 0)
+        plain = let(F.trim(named), lambda n: F.regexp_replace(n, r"^art(?:\.(?=\S)|\S*\s+)", ""))
+        return F.when(plain != "", F.transform(split_articles(plain), both)).otherwise(none)
+
+    return let(F.lower(element), lambda low: F.when(low.contains("protocol"), of_protocol(low)).when(~other, of_convention(low)).otherwise(none))
 
-def conclusion_elements(cases: DataFrame, key: str, text: str, keep_plain: bool = False) -> DataFrame:
-    """(key, pos, element, type, article, base_article, details, mentions): one row per finding and article.
+
+_FINDINGS = (
+    "cast(array() as array<struct<at:int,k:int,element:string,type:string,article:string,base_article:string,"
+    "details:array<string>,mentions:array<string>>>)"
+)
+
+
+def findings(cases: DataFrame, text: str, name: str = "findings", keep_plain: bool = False) -> DataFrame:
+    """cases with an array of (at, k, element, type, article, base_article, details, mentions), one per finding and article.
 
     Equal findings of a row (same article and element; without article same
-    element) are merged: the first one's place, the last one's details.
+    element) are merged: the first one's place, the last one's details. All
+    happens inside the row, nothing is shuffled.
     """
-    raw = cases.select(key, F.posexplode(raw_elements(F.col(text), keep_plain)).alias("at", "e")).select(
-        key, "at", "e.element", "e.details", "e.mentions", element_type(F.col("e.element")).alias("type")
-    )
-    named = raw.withColumn("articles", F.coalesce(element_articles(F.col("element")), F.expr(_NO_ARTICLES)))
-    named = named.where((F.size("articles") > 0) | (F.col("type") == "other"))
-    rows = named.select("*", F.posexplode_outer("articles").alias("k", "a")).select("*", "a.article", "a.base_article")
-    order = F.struct("at", F.coalesce("k", F.lit(0)).alias("k"))
-    merged = rows.groupBy(key, "element", "article", "base_article", "type").agg(
-        F.min(order).alias("first"),
-        F.max_by("details", F.when(F.col("details").isNotNull(), order)).alias("details"),
-        F.max_by("mentions", F.when(F.col("mentions").isNotNull(), order)).alias("mentions"),
-    )
-    return merged.select(key, "first.at", "first.k", "element", "type", "article", "base_article", "details", "mentions")
+    raw = cases.withColumn("_raw", raw_elements(F.col(text), keep_plain))
+
+    def read(e: Column, at: Column) -> Column:
+        articles = F.coalesce(element_articles(e["element"]), F.expr(_NO_ARTICLES))
+        return F.struct(at.alias("at"), e["element"].alias("element"), element_type(e["element"]).alias("type"), articles.alias("articles"),
+                        e["details"].alias("details"), e["mentions"].alias("mentions"))
+
+    def row(e: Column, k: Column, article: Column, base: Column) -> Column:
+        return F.struct(e["at"].alias("at"), k.alias("k"), e["element"].alias("element"), e["type"].alias("type"), article.alias("article"),
+                        base.alias("base_article"), e["details"].alias("details"), e["mentions"].alias("mentions"))
+
+    def each(e: Column) -> Column:
+        none = F.lit(None).cast("string")
+        named = F.transform(e["articles"], lambda a, k: row(e, k, a["article"], a["base_article"]))
+        return F.when(F.size(e["articles"]) > 0, named).when(e["type"] == "other", F.array(row(e, F.lit(0), none, none))).otherwise(F.expr(_FINDINGS))
+
+    def same(x: Column, r: Column) -> Column:
+        return (x["element"] == r["element"]) & x["article"].eqNullSafe(r["article"]) & x["base_article"].eqNullSafe(r["base_article"])
+
+    def later(x: Column, r: Column) -> Column:
+        kept = [x[c].alias(c) for c in ("at", "k", "element", "type", "article", "base_article")]
+        return F.struct(*kept, *[F.coalesce(r[c], x[c]).alias(c) for c in ("details", "mentions")])
+
+    def merge(acc: Column, r: Column) -> Column:
+        known = F.transform(acc, lambda x: F.when(same(x, r), later(x, r)).otherwise(x))
+        return F.when(F.exists(acc, lambda x: same(x, r)), known).otherwise(F.concat(acc, F.array(r)))
+
+    found = raw.withColumn("_raw", F.transform("_raw", read)).withColumn("_raw", F.flatten(F.transform("_raw", each)))
+    return found.withColumn(name, F.reduce("_raw", F.expr(_FINDINGS), merge)).drop("_raw")
+
+
+def conclusion_elements(cases: DataFrame, key: str, text: str, keep_plain: bool = False) -> DataFrame:
+    """(key, at, k, element, type, article, base_article, details, mentions): one row per finding and article."""
+    found = findings(cases.select(F.col(key), F.col(text).alias("_text")), "_text", "_found", keep_plain)
+    return found.select(key, F.explode("_found").alias("f")).select(key, "f.*")

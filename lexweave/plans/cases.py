@@ -15,20 +15,24 @@ from .fixtures import ARTICLES, ELEMENTS, sql
 LISTS = ["externalsources", "documentcollectionid", "issue", "representedby"]
 
 
-def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.current(table(spark, sf_dir, "cases_info"))
+FILTERED = ("itemid", "languageisocode", "doctype", "conclusion")
+
+
+def _cases(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The current cases with the given columns."""
+    return op.current(table(spark, sf_dir, "cases_info"), *columns)
 
 
 def _elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ccl.conclusion_elements(op.usable(_cases(spark, sf_dir)), "itemid", "conclusion")
+    return ccl.conclusion_elements(op.usable(_cases(spark, sf_dir, *FILTERED)), "itemid", "conclusion")
 
 
 def current_cases(spark, sf_dir):
-    return _cases(spark, sf_dir).select("itemid", "record_id", "docname", "isplaceholder")
+    return _cases(spark, sf_dir, "itemid", "record_id", "docname", "isplaceholder").select("itemid", "record_id", "docname", "isplaceholder")
 
 
 def parties_split(spark, sf_dir):
-    return _cases(spark, sf_dir).select("itemid", F.posexplode(fn.parties(F.col("docname"))).alias("pos", "party"))
+    return _cases(spark, sf_dir, "itemid", "docname").select("itemid", F.posexplode(fn.parties(F.col("docname"))).alias("pos", "party"))
 
 
 def article_split(spark, sf_dir):
@@ -41,15 +45,15 @@ def base_articles(spark, sf_dir):
 
 
 def article_list(spark, sf_dir):
-    return _cases(spark, sf_dir).select("itemid", F.explode(fn.article_list(F.col("article"))).alias("article"))
+    return _cases(spark, sf_dir, "itemid", "article").select("itemid", F.explode(fn.article_list(F.col("article"))).alias("article"))
 
 
 def subarticle_list(spark, sf_dir):
-    return _cases(spark, sf_dir).select("itemid", F.explode(fn.subarticle_list(F.col("article"))).alias("article"))
+    return _cases(spark, sf_dir, "itemid", "article").select("itemid", F.explode(fn.subarticle_list(F.col("article"))).alias("article"))
 
 
 def multivalue_split(spark, sf_dir):
-    cases = _cases(spark, sf_dir)
+    cases = _cases(spark, sf_dir, "itemid", *LISTS, "extractedappno")
     named = [F.struct(F.lit(n).alias("field"), fn.multi_value(F.col(n)).alias("vs")) for n in LISTS]
     named.append(F.struct(F.lit("extractedappno").alias("field"), fn.multi_value(F.col("extractedappno"), keep_empty=True).alias("vs")))
     return cases.select("itemid", F.explode(F.array(*named)).alias("x")).select(
@@ -58,14 +62,24 @@ def multivalue_split(spark, sf_dir):
 
 
 def filter_funnel(spark, sf_dir):
-    return op.funnel(_cases(spark, sf_dir))
+    return op.funnel(_cases(spark, sf_dir, *FILTERED))
 
 
 def conclusion_elements(spark, sf_dir):
     text = f"""with elements as ({ELEMENTS}) select ok, array_join(transform(array_sort(collect_list(struct(ln, el))), x -> x.el), ';') ccl
                from elements group by ok"""
     found = ccl.conclusion_elements(sql(spark, sf_dir, text, "lineitem"), "ok", "ccl")
-    return found.select("ok", "element", "type", "article", "base_article", F.array_join("details", "|").alias("details"))
+    return found.select(
+        "ok", "element", "type", "article", "base_article", F.array_join("details", "|").alias("details"), F.array_join("mentions", "|").alias("mentions")
+    )
+
+
+def finding_mentions(spark, sf_dir):
+    """Findings followed by brackets of their own: these are mentions of the finding before."""
+    text = f"""with elements as ({ELEMENTS}) select ok, array_join(transform(array_sort(collect_list(struct(ln, el))), x -> concat(x.el, case when x.el like '%)' then concat(' (note ', x.ln, ')') else '' end)), ';') ccl
+               from elements group by ok"""
+    found = ccl.conclusion_elements(sql(spark, sf_dir, text, "lineitem"), "ok", "ccl")
+    return found.where("mentions is not null").select("ok", "element", "article", F.array_join("details", "|").alias("details"), F.array_join("mentions", "|").alias("mentions"))
 
 
 def case_conclusions(spark, sf_dir):
@@ -101,7 +115,7 @@ def articles_by_total(spark, sf_dir):
 
 def attribute_stats(spark, sf_dir):
     return op.attribute_stats(
-        _cases(spark, sf_dir), ["doctypebranch", "respondent", "importance", "languageisocode", "rank"], [*LISTS, "extractedappno"]
+        _cases(spark, sf_dir, "itemid", "doctypebranch", "respondent", "importance", "languageisocode", "rank", *LISTS, "extractedappno"), ["doctypebranch", "respondent", "importance", "languageisocode", "rank"], [*LISTS, "extractedappno"]
     )
 
 
@@ -115,49 +129,50 @@ def prevalence_first(spark, sf_dir):
 
 def country_lookup(spark, sf_dir):
     countries = lookups.countries(table(spark, sf_dir, "leading_case"))
-    cases = _cases(spark, sf_dir).withColumn("alpha3", fn.first_of(F.col("respondent")))
+    cases = _cases(spark, sf_dir, "itemid", "respondent").withColumn("alpha3", fn.first_of(F.col("respondent")))
     return lookups.matched(cases, countries, "alpha3").select("itemid", "alpha3", "country")
 
 
 def country_missing(spark, sf_dir):
     countries = lookups.countries(table(spark, sf_dir, "leading_case"))
-    cases = _cases(spark, sf_dir).withColumn("alpha3", fn.first_of(F.col("respondent")))
+    cases = _cases(spark, sf_dir, "itemid", "respondent").withColumn("alpha3", fn.first_of(F.col("respondent")))
     return lookups.missing(cases, countries, "alpha3").select("itemid", "alpha3")
 
 
 def body_lookup(spark, sf_dir):
     bodies = lookups.bodies(spark)
-    return lookups.matched(_cases(spark, sf_dir), bodies, "originatingbody").select("itemid", "body_type", "body_name")
+    return lookups.matched(_cases(spark, sf_dir, "itemid", "originatingbody"), bodies, "originatingbody").select("itemid", "body_type", "body_name")
 
 
 def date_parse(spark, sf_dir):
     fields = ["decisiondate", "introductiondate", "judgementdate", "kpdate"]
     named = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), fn.case_date(F.col(f)).alias("at")) for f in fields]))
-    return _cases(spark, sf_dir).select("itemid", named.alias("x")).select("itemid", "x.field", F.date_format("x.at", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    return _cases(spark, sf_dir, "itemid", *fields).select("itemid", named.alias("x")).select("itemid", "x.field", F.date_format("x.at", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
 def date_cut(spark, sf_dir):
-    return _cases(spark, sf_dir).select(
-        "itemid", fn.cut_date(F.col("judgementdate")).alias("judgementdate"), fn.cut_date(F.col("kpdate"), False).alias("kpdate")
-    )
+    """The four dates without their times; the last one keeps its dashes."""
+    dashed = ["decisiondate", "judgementdate", "introductiondate"]
+    cases = _cases(spark, sf_dir, "itemid", *dashed, "kpdate")
+    return cases.select("itemid", *[fn.cut_date(F.col(c)).alias(c) for c in dashed], fn.cut_date(F.col("kpdate"), False).alias("kpdate"))
 
 
 def documents_present(spark, sf_dir):
     have = table(spark, sf_dir, "documents").where("itemid is not null").select("itemid")
-    return _cases(spark, sf_dir).select("itemid").join(have, "itemid", "left_semi")
+    return _cases(spark, sf_dir, "itemid").select("itemid").join(have, "itemid", "left_semi")
 
 
 def documents_absent(spark, sf_dir):
     have = table(spark, sf_dir, "documents").where("itemid is not null").select("itemid")
-    return _cases(spark, sf_dir).select("itemid").join(have, "itemid", "left_anti")
+    return _cases(spark, sf_dir, "itemid").select("itemid").join(have, "itemid", "left_anti")
 
 
 def document_paths(spark, sf_dir):
-    return _cases(spark, sf_dir).select("itemid", fn.document_path(F.col("application"), F.col("itemid")).alias("path"))
+    return _cases(spark, sf_dir, "itemid", "application").select("itemid", fn.document_path(F.col("application"), F.col("itemid")).alias("path"))
 
 
 def id_list(spark, sf_dir):
-    return _cases(spark, sf_dir).where(fn.valid_id(F.col("itemid"))).select("itemid")
+    return _cases(spark, sf_dir, "itemid").where(fn.valid_id(F.col("itemid"))).select("itemid")
 
 
 def year_requests(spark, sf_dir):
@@ -170,7 +185,7 @@ def year_requests(spark, sf_dir):
 
 
 def separate_opinions(spark, sf_dir):
-    return _cases(spark, sf_dir).groupBy(F.coalesce(fn.is_true(F.col("separateopinion")), F.lit(False)).alias("separate")).agg(F.count("*").alias("n"))
+    return _cases(spark, sf_dir, "itemid", "separateopinion").groupBy(F.coalesce(fn.is_true(F.col("separateopinion")), F.lit(False)).alias("separate")).agg(F.count("*").alias("n"))
 
 
 def flat_projection(spark, sf_dir):
@@ -187,13 +202,13 @@ def flat_projection(spark, sf_dir):
 
 def set_equality(spark, sf_dir):
     """Cases whose numbers and extracted numbers are the same set."""
-    cases = _cases(spark, sf_dir).where("appno is not null and extractedappno is not null")
+    cases = _cases(spark, sf_dir, "itemid", "appno", "extractedappno").where("appno is not null and extractedappno is not null")
     return cases.where(fn.same_set(F.split("appno", ";"), F.split("extractedappno", ";"))).select("itemid")
 
 
 def sorted_articles(spark, sf_dir):
     """Article lists sorted as numbers where all are numbers, else as text."""
-    return _cases(spark, sf_dir).where("article is not null").select(
+    return _cases(spark, sf_dir, "itemid", "article").where("article is not null").select(
         "itemid", F.array_join(fn.sort_mixed(F.split("article", ";")), ";").alias("sorted")
     )
 
@@ -265,7 +280,7 @@ ORACLES = {
         t as (select *, case when starts_with(element, 'Violation') then 'violation' when starts_with(element, 'No violation') then 'no-violation' else 'other' end as type,
           regexp_extract(element, 'Art\\. (\\S+)', 1) art from kept),
         u as (select ok, k, element, type, details, unnest(case when type = 'other' then [null] else {_PARTS.format('art')} end) article from t)
-        select ok, element, type, article, case when article is not null then {_BASE.format('article')} end base_article, max(details) details
+        select ok, element, type, article, case when article is not null then {_BASE.format('article')} end base_article, max(details) details, null::varchar mentions
         from u group by ok, element, type, article""",
     "case_conclusions": _E + " select itemid, element, type, article, base_article, details from e",
     "outcomes_per_article": _E + """ select article, count(*) filter (type = 'violation') violation, count(*) filter (type = 'no-violation') no_violation, count(*) total
@@ -297,7 +312,8 @@ ORACLES = {
         f"('{k}', '{t}', '{n}')" for k, (t, n) in lookups.BODIES.items()) + ") select itemid, body_type, body_name from c join b using (originatingbody)",
     "date_parse": _C + " select itemid, field, strftime(coalesce(" + ", ".join(f"try_strptime(v, '{f}')" for f in _FMT) + "), '%Y-%m-%d %H:%M:%S') as at from (" + " union all ".join(
         f"select itemid, '{f}' field, {f} v from c" for f in ("decisiondate", "introductiondate", "judgementdate", "kpdate")) + ")",
-    "date_cut": _C + " select itemid, replace(string_split(string_split(judgementdate, ' ')[1], 'T')[1], '-', '/') judgementdate, string_split(string_split(kpdate, ' ')[1], 'T')[1] kpdate from c",
+    "date_cut": _C + " select itemid, " + ", ".join(f"replace(string_split(string_split({d}, ' ')[1], 'T')[1], '-', '/') {d}" for d in ("decisiondate", "judgementdate", "introductiondate"))
+        + ", string_split(string_split(kpdate, ' ')[1], 'T')[1] kpdate from c",
     "documents_present": _C + " select itemid from c where itemid in (select itemid from documents where itemid is not null)",
     "documents_absent": _C + " select itemid from c where itemid not in (select itemid from documents where itemid is not null)",
     "document_paths": _C + " select itemid, itemid || case when starts_with(application, 'MS WORD') then '.docx' else '.pdf' end as path from c",
@@ -325,6 +341,6 @@ QUERIES = {
         current_cases, parties_split, article_split, base_articles, article_list, subarticle_list, multivalue_split, filter_funnel, conclusion_elements,
         case_conclusions, outcomes_per_article, label_consistent_cases, cases_per_article, multilabel, multiclass, articles_by_total, attribute_stats,
         prevalence, prevalence_first, country_lookup, country_missing, body_lookup, date_parse, date_cut, documents_present, documents_absent,
-        document_paths, id_list, year_requests, separate_opinions, flat_projection, set_equality, sorted_articles, title_names,
+        document_paths, id_list, year_requests, separate_opinions, flat_projection, set_equality, sorted_articles, title_names, finding_mentions,
     )
 }
