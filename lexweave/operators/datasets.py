@@ -44,15 +44,17 @@ def feature_ids(values: DataFrame) -> DataFrame:
     return ids.select("variable", "value", (F.col("feature_id") - 1).alias("feature_id"))
 
 
-def outcome_lines(elements: DataFrame, ids: DataFrame, key: str = "itemid") -> DataFrame:
-    """(key, line): ``outcome:1`` or ``outcome:0`` of every consistent case, in the order of ids."""
+def outcome_lines(elements: DataFrame, ids: DataFrame, features: DataFrame, key: str = "itemid") -> DataFrame:
+    """(key, line) of every consistent case: ``0:`` and the id of its key, then ``outcome:1`` or ``outcome:0`` in the order of ids."""
     found = elements.where(F.col("type").isin("violation", "no-violation") & F.col("base_article").isNotNull())
-    kept = found.join(consistent(elements, key, "base_article"), key, "left_semi").join(F.broadcast(ids), "base_article")
+    kept = found.join(consistent(elements, key, "base_article"), key, "left_semi").join(ids, "base_article")
     pair = F.struct(F.col("outcome_id").alias("i"), (F.col("type") == "violation").cast("int").alias("v"))
     sorted_ = F.array_sort(F.collect_set(pair))
-    return kept.groupBy(key).agg(
-        F.array_join(F.transform(sorted_, lambda p: F.concat_ws(":", p["i"].cast("string"), p["v"].cast("string"))), " ").alias("line")
+    classes = kept.groupBy(key).agg(
+        F.array_join(F.transform(sorted_, lambda p: F.concat_ws(":", p["i"].cast("string"), p["v"].cast("string"))), " ").alias("classes")
     )
+    own = features.where("variable = 'itemid'").select(F.col("value").alias(key), "feature_id")
+    return classes.join(own, key).select(key, F.concat(F.lit("0:"), F.col("feature_id").cast("string"), F.lit(" "), "classes").alias("line"))
 
 
 def descriptive_lines(values: DataFrame, ids: DataFrame, key: str = "itemid") -> DataFrame:

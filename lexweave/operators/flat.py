@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +37,40 @@ def flatten_json(df: DataFrame, key: str, column: str) -> DataFrame:
     )
 
 
+def _scalars(text: str) -> Iterator[tuple[str, str | None]]:
+    """(path, value) of every scalar and every empty list or object of a JSON text, in its order; nothing of an unreadable one."""
+    try:
+        work = [("", json.loads(text, parse_int=str, parse_float=str))]
+    except (ValueError, RecursionError):
+        return
+    while work:
+        path, value = work.pop()
+        if isinstance(value, dict | list) and value:
+            inner = value.items() if isinstance(value, dict) else enumerate(value)
+            work.extend(reversed([(f"{path}.{k}" if path else str(k), v) for k, v in inner]))
+        elif isinstance(value, dict | list):
+            yield path, "{}" if isinstance(value, dict) else "[]"
+        else:
+            yield path, {True: "true", False: "false"}[value] if isinstance(value, bool) else value
+
+
+def flatten_nested(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, path, value): every scalar of JSON texts by its dotted path, list elements by their place, to any depth.
+
+    A text is walked inside its row, in one pass without recursion. Numbers stay as written;
+    an empty list or object is a value of its own; null texts and unreadable ones have no rows.
+    """
+    kind = dict(df.dtypes)[key]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k in range(0, len(batch), 200):
+                rows = [(i, p, v) for i, t in zip(batch[key][k : k + 200], batch[column][k : k + 200]) if t is not None for p, v in _scalars(t)]
+                yield pd.DataFrame(rows, columns=[key, "path", "value"])
+
+    return df.select(key, column).mapInPandas(run, f"{key} {kind}, path string, value string")
+
+
 def domains(paths: DataFrame) -> DataFrame:
     """(path, value): the distinct values of each path."""
     return paths.where("value is not null").select("path", "value").distinct()
