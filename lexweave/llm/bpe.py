@@ -42,6 +42,8 @@ VOCABULARIES = os.environ.get("LEXWEAVE_TOKENIZERS", "/opt/tokenizers")
 PRESPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Chunks that a worker remembers.
 MEMO = 300_000
+#: Pairs of tokens that a worker remembers; then it starts anew.
+PAIRS = 2_000_000
 
 # White space that the pattern's \s and Python's str.isspace do not judge alike is left to the whole-text path.
 _ODD_SPACE = regex.compile(r"[\x1c-\x1f\x85]")
@@ -90,6 +92,7 @@ class Encoder:
                 self.automaton.add_word(b.decode("latin-1"), i)
         self.automaton.make_automaton()
         self.beside: list[dict[int, bool]] = [{} for _ in tokens]
+        self.met = 0
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.pattern = regex.compile(PRESPLIT)
         self.chunks = _Memo(self._chunk)
@@ -116,6 +119,8 @@ class Encoder:
         whole = self.single.get(data)
         if whole is not None:
             return (whole,)
+        if self.met >= PAIRS:
+            self.beside, self.met = [{} for _ in self.size], 0
         n, size, beside = len(data), self.size, self.beside
         at: list[list[int]] = [[] for _ in data]  # tokens that start here; they come shortest first
         for end, i in self.automaton.iter(data.decode("latin-1")):
@@ -136,6 +141,7 @@ class Encoder:
                     fits = row.get(i)
                     if fits is None:
                         fits = row[i] = self._fits(out[-1], i)
+                        self.met += 1
                     if not fits:
                         continue
                 out.append(i)

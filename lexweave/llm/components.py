@@ -37,7 +37,7 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(r)
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): the component is its least node. ``edges`` has columns a and b; lone nodes don't appear."""
     current = durable(
         edges.where("a is not null and b is not null and a <> b")
@@ -45,14 +45,12 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         .distinct()
     )
     before = _mark(current)
-    for _ in range(most_rounds):
+    while True:  # every round shortens the longest chain, so this ends
         current = durable(_star(_star(current, True), False))
         after = _mark(current)
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError("components did not settle")
     roots = current.select(F.col("b").alias("node")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         roots.select("node", F.col("node").alias("component"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
 from . import bpe, canonical, mixing, names, spans
@@ -35,6 +36,12 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))[1]
 
 
+def p8_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each source, whether its actual share is within 0.005 of its target and no record is repeated more than allowed."""
+    near = F.abs(F.col("actual_share") - F.col("target_share")) <= 0.005
+    return p8_shares(spark, sf_dir).select("source", near.alias("share_kept"), (F.col("most_repeats") <= F.col("max_repeats")).alias("cap_kept"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_pairs(table(spark, sf_dir, "documents"))
 
@@ -48,5 +55,5 @@ def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p7_ids, p8_mix, p8_shares, p9_found, p9_shares, p9_classes)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p7_ids, p8_mix, p8_shares, p8_kept, p9_found, p9_shares, p9_classes)}
+ORACLES: dict[str, str] = {"p8_kept": "select source, true share_kept, true cap_kept from mix_target"}

@@ -58,6 +58,18 @@ def test_components(spark):
 needs_vocabulary = pytest.mark.skipif(not os.path.exists(os.path.join(bpe.VOCABULARIES, "byte_bpe_50k.json")), reason="no vocabulary files here")
 
 
+@needs_vocabulary
+def test_memories_are_bounded(monkeypatch):
+    tokens, parts = bpe.load_vocabulary()
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghij") for _ in range(30)) for _ in range(300)]
+    want = [bpe.Encoder(tokens, parts).piece(t) for t in texts[:3]]
+    monkeypatch.setattr(bpe, "PAIRS", 50)
+    small = bpe.Encoder(tokens, parts)
+    got = [small.piece(t) for t in texts]
+    assert got[:3] == want and sum(map(len, small.beside)) < 500
+
+
 @needs_vocabulary
 def test_ids_are_those_of_the_public_library(spark):
     tiktoken = pytest.importorskip("tiktoken")
