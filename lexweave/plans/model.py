@@ -420,6 +420,9 @@ ORACLES = {
     "dataset_descriptive_bow": _BAG + " select itemid, l.line || ' ' || ln.line line from l join ln using (itemid)",
     "dataset_descriptive_tfidf": _WEIGHT + " select itemid, l.line || ' ' || ln.line line from l join ln using (itemid)",
     "dataset_stats": _BAG + " select count(*) dataset_size, min(n + m) min_feature, max(n + m) max_feature, coalesce(avg(n + m), 0.0) avg_feature from l join ln using (itemid)",
+    "type_mapping": """select * from (values ('record_no', 'bigint'), ('itemid', 'string'), ('judgment', 'string'), ('conclusions', 'array'), ('conclusions[].element', 'string'),
+        ('conclusions[].type', 'string'), ('conclusions[].article', 'string'), ('conclusions[].base_article', 'string'), ('conclusions[].details', 'array'), ('conclusions[].details[]', 'string'),
+        ('conclusions[].mentions', 'array'), ('conclusions[].mentions[]', 'string')) t(path, type)""",
     "flatten_nested": r"""with t as (select record_no, t.fullkey, t.type, t.value from case_judgment c, lateral (select * from json_tree(case when json_valid(judgment) then judgment::json end)) t
         where t.type not in ('OBJECT', 'ARRAY') or t.value::varchar in ('[]', '{}'))
         select record_no, ltrim(regexp_replace(replace(fullkey[2:], '"', ''), '\[(\d+)\]', '.\1', 'g'), '.') path,

@@ -1,10 +1,9 @@
-"""Queries of lookups, thresholds and tagging, with their SQL."""
+"""Queries of lookups and thresholds, with their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import tagging
 from ..functions import text as ft
 from ..operators import probes
 from ..session import table
@@ -37,13 +36,6 @@ def number_split(spark, sf_dir):
     return orders.select("o_orderpriority", ft.split_number(F.col("o_orderpriority")).alias("x")).select("o_orderpriority", "x.number", "x.rest")
 
 
-def pos_lemma(spark, sf_dir):
-    """How often each base form of each word class occurs; the default tagger goes by endings."""
-    words = table(spark, sf_dir, "documents").where("text is not null").select(ft.clean_tokens(F.col("text")).alias("w"))
-    rows = words.select(F.explode(tagging.tag(F.col("w"))).alias("t"))
-    return rows.groupBy("t.pos", "t.lemma").agg(F.count("*").alias("n"))
-
-
 ORACLES = {
     "value_probe": """with v as (select n_name as name from nation union select r_name from region union select c_mktsegment from customer)
         select v.name, case when n_nationkey is not null then 'nation' when r_regionkey is not null then 'region' end source, coalesce(n_nationkey, r_regionkey) as row
@@ -53,4 +45,4 @@ ORACLES = {
     "department_names": """select n_nationkey, case n_nationkey when 20 then '2A' when 21 then '2B' else lpad((case when n_nationkey > 21 then n_nationkey - 1 else n_nationkey end)::varchar, 2, '0') end department from nation""",
     "number_split": "select distinct o_orderpriority, regexp_extract(o_orderpriority, '^([0-9]+)([^0-9].*)$', 1) as number, regexp_extract(o_orderpriority, '^([0-9]+)([^0-9].*)$', 2) as rest from orders",
 }
-QUERIES = {f.__name__: f for f in (value_probe, threshold_filter, most_words, department_names, number_split, pos_lemma)}
+QUERIES = {f.__name__: f for f in (value_probe, threshold_filter, most_words, department_names, number_split)}

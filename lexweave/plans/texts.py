@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as fn
 from ..operators import documents as od
 from ..operators import features as op
+from ..operators import relational
 from ..session import table
 from ..sources import lookups
 
@@ -152,6 +153,26 @@ def _judge_lines(spark, sf_dir):
     return lines, judges.unionByName(more)
 
 
+def _judge_list(spark, sf_dir):
+    """A typed list of judges in the form of the published one, from the members of decision bodies."""
+    members = table(spark, sf_dir, "decisionbodymember").where("name is not null and country is not null")
+    place = F.concat("country", F.lpad(F.col("id").cast("string"), 12, "0"))
+    second = F.when(F.col("id") % 3 == 0, F.lit("")).otherwise(F.concat((F.col("id") % 40 + 1980).cast("string"), F.lit(" ")))
+    line = F.concat((F.col("id") % 40 + 1960).cast("string"), F.lit(" - "), second, "name", F.when(F.col("id") % 5 == 0, " (President)").otherwise(""))
+    heads = members.select("country").distinct().select(F.lit(1).alias("doc_id"), F.col("country").alias("pos"), F.concat("country", F.lit(" / LISTE")).alias("line"))
+    return members.select(F.lit(1).alias("doc_id"), place.alias("pos"), line.alias("line")).unionByName(heads)
+
+
+def judge_rows(spark, sf_dir):
+    return od.judge_rows(_judge_list(spark, sf_dir))
+
+
+def dim_judge(spark, sf_dir):
+    """Judges by all that is known of them, numbered."""
+    judges = judge_rows(spark, sf_dir).select("name", "full_name", F.col("start").try_cast("int").alias("start"), F.col("end").try_cast("int").alias("end")).distinct()
+    return relational.dense_ids(judges, ["name", "full_name", "start", "end"])
+
+
 def gazetteer_match(spark, sf_dir):
     """Names of countries inside documents: which line each stands in, the longest where they overlap."""
     names = lookups.countries(table(spark, sf_dir, "leading_case"))
@@ -235,6 +256,18 @@ ORACLES = {
     "judge_rejects": _match_sql(_JUDGE) + " select id, line from line where id not in (select id from hit)",
 }
 
+_LIST = r"""with m as (select * from decisionbodymember where name is not null and country is not null),
+  w as (select country, id, list_filter(regexp_split_to_array((id % 40 + 1960) || ' - ' || case when id % 3 = 0 then '' else (id % 40 + 1980) || ' ' end || name
+    || case when id % 5 = 0 then ' (President)' else '' end, '\s+'), lambda x: x <> '') w from m),
+  n as (select *, case when regexp_full_match(w[3], '[0-9]+') then w[3] end as e, case when regexp_full_match(w[3], '[0-9]+') then w[4:] else w[3:] end names from w where len(w) > 2),
+  k as (select *, array_to_string(list_filter(names, lambda x: (upper(x) = x or starts_with(x, 'Mc')) and not contains(x, '.')), ' ') idx, array_to_string(names, ' ') nm from n),
+  j as (select upper(country[1]) || lower(country[2:]) country, replace(upper(idx), '-', ' ') as name, w[1] as start, e as "end",
+    case when contains(nm, '(P') then string_split(nm, ' (')[1] else nm end full_name, id from k where length(idx) >= 2 and not starts_with(idx, '/')),
+  l as (select country, name, arg_max({'s': start, 'e': "end", 'f': full_name}, id) x from j group by country, name)"""
+ORACLES["judge_rows"] = _LIST + ' select country, name, x.s as start, x.e as "end", x.f full_name from l'
+ORACLES["dim_judge"] = _LIST + """ select row_number() over (order by name, full_name, start nulls first, "end" nulls first) id, * from (
+  select distinct name, x.f full_name, try_cast(x.s as int) as start, try_cast(x.e as int) as "end" from l)"""
+
 ORACLES["gazetteer_match"] = _D + r""", e as (select distinct upper(c[1]) || lower(c[2:]) entry from (
     select min(trim(string_split(docname, ' v. ')[2])) c from leading_case group by respondent)),
   s as (select doc_id, text, entry, string_split(text, entry) a from d join e on contains(text, entry)),
@@ -247,5 +280,6 @@ QUERIES = {
     for f in (
         token_counts, document_frequency, token_clean, ngram_sizes, ngram_frequency_filter, frequency_correction, normalised_documents, vocab_topk, bow,
         tfidf, bow_lines, paragraph_strip, section_tag, tree_parent, leaf_text, parser_choice, table_to_text, title_strip, repeated_tokens, sections_left_out, judge_match, judge_rejects, gazetteer_match,
+        judge_rows, dim_judge,
     )
 }
