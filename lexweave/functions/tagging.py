@@ -1,43 +1,19 @@
-"""Word classes and base forms, through a tagger that can be exchanged."""
+"""Word classes and base forms: a tagger that is handed in, or a table of base forms."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Tagger = Callable[[list[str]], list[tuple[str, str]]]
 TAGGED = "array<struct<token:string,pos:string,lemma:string>>"
 
 
-def by_suffix(words: list[str]) -> list[tuple[str, str]]:
-    """(class, base form) of English words by their endings: a stand-in where no model is at hand."""
-    out = []
-    for w in words:
-        if re.fullmatch(r"[0-9]+([.,][0-9]+)*", w):
-            out.append(("noun", w))
-        elif re.search(r"(ous|ful|able|ible|ive|less|ical)$", w):
-            out.append(("adj", w))
-        elif len(w) > 4 and w.endswith("ly"):
-            out.append(("adv", w))
-        elif len(w) > 5 and w.endswith("ing"):
-            out.append(("verb", w[:-3]))
-        elif len(w) > 4 and w.endswith("ed"):
-            out.append(("verb", w[:-2]))
-        elif len(w) > 4 and w.endswith("ies"):
-            out.append(("noun", w[:-3] + "y"))
-        elif len(w) > 3 and w.endswith("s") and not w.endswith("ss"):
-            out.append(("noun", w[:-1]))
-        else:
-            out.append(("noun", w))
-    return out
-
-
-def tag(tokens: Column, tagger: Tagger = by_suffix) -> Column:
-    """Array of (token, pos, lemma); Arrow batches, one call of the tagger per row."""
+def tag(tokens: Column, tagger: Tagger) -> Column:
+    """Array of (token, pos, lemma) by a model of the caller's; Arrow batches, one call of the tagger per row."""
 
     @F.pandas_udf(TAGGED)
     def run(batch: pd.Series) -> pd.Series:
@@ -50,6 +26,13 @@ def tag(tokens: Column, tagger: Tagger = by_suffix) -> Column:
     return run(tokens)
 
 
-def of_classes(tagged: Column, accepted: tuple[str, ...] = ("adj", "verb", "noun", "adv")) -> Column:
-    """Base forms of the tokens of some classes."""
-    return F.transform(F.filter(tagged, lambda t: t["pos"].isin(*accepted)), lambda t: t["lemma"])
+def by_table(docs: DataFrame, lexicon: DataFrame, key: str = "doc_id", column: str = "tokens") -> DataFrame:
+    """(key, at, token, pos, lemma) of the tokens that a table (token, pos, lemma) of one row per token knows; others go."""
+    each = docs.select(key, F.posexplode(column).alias("at", "token"))
+    return each.join(lexicon, "token").select(key, "at", "token", "pos", "lemma")
+
+
+def of_classes(tagged: Column, accepted: tuple[str, ...] = ("adj", "verb", "noun", "adv"), rejected: tuple[str, ...] = ()) -> Column:
+    """Base forms of the tokens of some classes and of none of others."""
+    kept = F.filter(tagged, lambda t: t["pos"].isin(*accepted) & ~t["pos"].isin(*rejected) if rejected else t["pos"].isin(*accepted))
+    return F.transform(kept, lambda t: t["lemma"])

@@ -7,9 +7,10 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from lexweave.functions import tagging
 from lexweave.functions import text as ft
 from lexweave.operators import documents as od
-from lexweave.operators import features, flat, relational
+from lexweave.operators import features, flat, formatted, relational
 from lexweave.plans import model, texts, workflow
 from lexweave.sources import files, lookups
 from lexweave.streaming.incremental import load_stream
@@ -203,3 +204,47 @@ def test_stream_loads_new_keys_once(spark, tmp_path):
     spark.createDataFrame([(2, "again"), (3, "c")], "id bigint, v string").write.mode("append").parquet(source)
     load_stream(spark, source, first.schema, target, "id", check).awaitTermination()
     assert {tuple(r) for r in spark.read.parquet(target).collect()} == {(1, "a"), (2, "b"), (3, "c")}
+
+
+def test_judge_list(spark):
+    rows = ["NORTHLAND AND EAST / LE NORD", "1959 - 1966 Ann Mary SMITH-JONES", "1998 - Peter McCoy OLD (President)", "2001 - / X", "2003 - a", "1970 - 1971 Q. Ann SMITH JONES", "SOUTH OF WEST", "1999 - J. DOE", "note"]
+    df = spark.createDataFrame([(1, 0, "1900 - Nobody's")] + [(1, k, r) for k, r in enumerate(rows, 1)], "doc_id int, pos int, line string")
+    got = {(r["country"], r["name"]): (r["start"], r["end"], r["full_name"]) for r in od.judge_rows(df).collect()}
+    assert got == {
+        ("Northland and East", "SMITH JONES"): ("1970", "1971", "Q. Ann SMITH JONES"), ("Northland and East", "MCCOY OLD"): ("1998", None, "Peter McCoy OLD"),
+        ("South of West", "DOE"): ("1999", None, "J. DOE"),
+    }
+    assert od.judge_rows(df.limit(0)).count() == 0
+
+
+def test_sections_are_first_level_titles(spark):
+    rows = [(1, 0, "III. THE LAW", 1), (1, 1, "The law on languages", 5), (1, 2, " the facts", 1), (1, 3, "Relevant facts", 1), (2, 0, "CONCLUSION of all", 1), (2, 1, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id int, pos int, line string, level int")
+    assert {tuple(r) for r in od.tag_sections(df).collect()} == {(1, 0, "law"), (1, 2, "facts"), (2, 0, "conclusion")}
+
+
+def test_flatten_nested(spark):
+    texts = ['{"a":{"b":[1,{"c":null},[]]},"d":"x","e":true,"f":1.50}', "[]", "7", "nonsense", None, "", '{"x":{}}', "[" * 900 + "]" * 900]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, j string").selectExpr("*", "1 as path")
+    got = sorted(tuple(r) for r in flat.flatten_nested(df, "id", "j").collect())
+    deep = [r for r in got if r[0] == 7]
+    assert [r for r in got if r[0] != 7] == [(0, "a.b.0", "1"), (0, "a.b.1.c", None), (0, "a.b.2", "[]"), (0, "d", "x"), (0, "e", "true"), (0, "f", "1.50"), (1, "", "[]"), (2, "", "7"), (6, "x", "{}")]
+    assert len(deep) == 1 and deep[0][1].count(".") == 898
+    assert flat.flatten_nested(df.limit(0), "id", "j").count() == 0
+
+
+def test_encoded_cases(spark):
+    finding = "array<struct<article:string,type:string>>"
+    rows = [("c1", ["a", "a", "b"], [("8", "violation"), ("8", "no-violation"), ("6", "violation")]), ("c2", [], [(None, "other")]), ("c3", None, None)]
+    df = spark.createDataFrame(rows, f"itemid string, list array<string>, conclusion {finding}")
+    got = {r["itemid"]: r.asDict() for r in formatted.encoded(df, ["list"], []).collect()}
+    assert got["c1"] == {"itemid": "c1", "list=a": 2, "list=b": 1, "ccl_article=6": 1, "ccl_article=8": -1}
+    assert set(got["c2"].values()) == {"c2", 0} and set(got["c3"].values()) == {"c3", 0}
+
+
+def test_tables_of_base_forms(spark):
+    docs = spark.createDataFrame([(1, ["courts", "ran", "zzz", "courts"]), (2, None)], "doc_id int, tokens array<string>")
+    lexicon = spark.createDataFrame([("courts", "noun", "court"), ("ran", "verb", "run")], "token string, pos string, lemma string")
+    assert sorted(tuple(r) for r in tagging.by_table(docs, lexicon).collect()) == [(1, 0, "courts", "noun", "court"), (1, 1, "ran", "verb", "run"), (1, 3, "courts", "noun", "court")]
+    tagged = docs.where("doc_id = 1").select(tagging.tag(F.col("tokens"), lambda ws: [("noun" if w == "courts" else "verb", w.rstrip("s")) for w in ws]).alias("t"))
+    assert tagged.select(tagging.of_classes(F.col("t"), rejected=("verb",)).alias("x")).first()["x"] == ["court", "court"]
