@@ -37,8 +37,8 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of each source, whether its actual share is within 0.005 of its target and no record is repeated more than allowed."""
-    near = F.abs(F.col("actual_share") - F.col("target_share")) <= 0.005
+    """Of each source, whether its actual share is within 0.01 of its target and no record is repeated more than allowed."""
+    near = F.abs(F.col("actual_share") - F.col("target_share")) <= 0.01
     return p8_shares(spark, sf_dir).select("source", near.alias("share_kept"), (F.col("most_repeats") <= F.col("max_repeats")).alias("cap_kept"))
 
 
