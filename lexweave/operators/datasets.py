@@ -73,9 +73,3 @@ def dataset_stats(lines: DataFrame) -> DataFrame:
         F.count("*").alias("dataset_size"), F.min("n").alias("min_feature"), F.max("n").alias("max_feature"),
         F.coalesce(F.avg("n"), F.lit(0.0)).alias("avg_feature"),
     )
-
-
-def combined_lines(descriptive: DataFrame, vectors: DataFrame, key: str = "itemid") -> DataFrame:
-    """(key, line): descriptive features and a vector's on one line, only of cases that have both."""
-    joined = descriptive.select(key, F.col("line").alias("a")).join(vectors.select(key, F.col("line").alias("b")), key)
-    return joined.select(key, F.concat_ws(" ", "a", "b").alias("line"))

@@ -59,11 +59,11 @@ def tfidf(bow: DataFrame, n_docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return raw.select(key, "token_id", (F.col("w") / norm).alias("w"))
 
 
-def vector_lines(vectors: DataFrame, value: str, key: str = "doc_id", offset: int = 0) -> DataFrame:
-    """(key, line): a document's vector as ``id:value`` pairs in the order of ids."""
+def vector_lines(vectors: DataFrame, value: str, key: str = "doc_id", offset: int = 0, size: str = "") -> DataFrame:
+    """(key, line): a document's vector as ``id:value`` pairs in the order of ids; with ``size`` also the number of pairs, so named."""
     pairs = F.array_sort(F.collect_list(F.struct((F.col("token_id") + offset).alias("i"), F.col(value).cast("string").alias("v"))))
     joined = F.array_join(F.transform(pairs, lambda p: F.concat(p["i"].cast("string"), F.lit(":"), p["v"])), " ")
-    return vectors.groupBy(key).agg(joined.alias("line"))
+    return vectors.groupBy(key).agg(joined.alias("line"), *[F.count("*").alias(size)] * bool(size))
 
 
 def corrected_frequencies(grams: DataFrame) -> DataFrame:

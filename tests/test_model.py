@@ -242,6 +242,12 @@ def test_encoded_cases(spark):
     assert set(got["c2"].values()) == {"c2", 0} and set(got["c3"].values()) == {"c3", 0}
 
 
+def test_data_set_lines_read_each_text_once_for_the_vocabulary_and_once_for_the_line(spark):
+    both = model.dataset_descriptive_bow(spark, "/root/testdata/sf0.001")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("documents.parquet") == 3  # once more for the cases' first documents, without texts
+
+
 def test_tables_of_base_forms(spark):
     docs = spark.createDataFrame([(1, ["courts", "ran", "zzz", "courts"]), (2, None)], "doc_id int, tokens array<string>")
     lexicon = spark.createDataFrame([("courts", "noun", "court"), ("ran", "verb", "run")], "token string, pos string, lemma string")
