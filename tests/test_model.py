@@ -242,6 +242,15 @@ def test_encoded_cases(spark):
     assert set(got["c2"].values()) == {"c2", 0} and set(got["c3"].values()) == {"c3", 0}
 
 
+def test_encoded_cases_have_as_many_columns_as_the_data_need(spark):
+    values = [f"v{k:05}" for k in range(10_001)]
+    df = spark.createDataFrame([("c1", values, None), ("c2", values[-1:] * 2, None)], "itemid string, list array<string>, conclusion array<struct<article:string,type:string>>")
+    wide = formatted.encoded(df, ["list"], [])
+    assert wide.columns == ["itemid", *[f"list={v}" for v in values]]
+    got = wide.agg(F.sum("`list=v00000`"), F.sum("`list=v10000`"), F.max("`list=v10000`")).first()
+    assert tuple(got) == (1, 3, 2)
+
+
 def test_data_set_lines_read_each_text_once_for_the_vocabulary_and_once_for_the_line(spark):
     both = model.dataset_descriptive_bow(spark, "/root/testdata/sf0.001")
     plan = both._jdf.queryExecution().executedPlan().toString()
