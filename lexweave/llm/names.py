@@ -319,8 +319,8 @@ def _with_roles(rows: DataFrame) -> DataFrame:
     told = durable(spread(rows.select("name").distinct()).mapInPandas(_evidence_batches, "name string, family array<string>, given array<string>, open array<string>"))
     each = [told.select(F.explode(c).alias("word"), F.lit(1 - k).alias("f"), F.lit(k).alias("g")) for k, c in enumerate(("family", "given"))]
     counts = each[0].unionByName(each[1]).groupBy("word").agg(F.sum("f").alias("f"), F.sum("g").alias("g"))
-    roles = told.select("name", F.explode("open").alias("word")).join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("word", "f", "g")).alias("roles"))
-    return rows.join(roles, "name", "left")
+    roles = told.select("name", F.explode("open").alias("word")).join(counts.hint("merge"), "word").groupBy("name").agg(F.collect_list(F.struct("word", "f", "g")).alias("roles"))
+    return rows.join(roles.hint("merge"), "name", "left")
 
 
 def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -363,27 +363,25 @@ def heads(names: DataFrame, near: DataFrame) -> DataFrame:
     """
     key = ["tbl", "kind"]
     at = [names.select(*key, F.col("family").alias(f), F.col("n").alias(n)) for f, n in (("fa", "na"), ("fb", "nb"))]
-    pairs = near.join(at[0], [*key, "fa"]).join(at[1], [*key, "fb"])
+    pairs = near.join(at[0].hint("merge"), [*key, "fa"]).join(at[1].hint("merge"), [*key, "fb"])
     first = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("fa") < F.col("fb")))
     pick = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
     ordered = pairs.select(*key, pick("fa", "fb").alias("c"), pick("na", "nb").alias("nc"), pick("fb", "fa").alias("f"), pick("nb", "na").alias("nf"), "d")
     again = F.col("nf") - 1
     edges = durable(ordered.where(F.col("d") <= F.when(16 * again <= F.col("nc"), 3).when(2 * again <= F.col("nc"), 2).otherwise(1)))
-    # Round by round: who has a head before it is none; who has only such before it is one; the others wait.
-    open_ = edges.select(*key, "f").distinct()
-    decided = durable(edges.select(*key, F.col("c").alias("f")).distinct().join(open_, [*key, "f"], "left_anti").withColumn("head", F.lit(True)))
-    open_ = durable(open_)
-    while not open_.isEmpty():
-        state = decided.withColumnRenamed("f", "c")
-        told = edges.join(open_, [*key, "f"], "left_semi").join(state, [*key, "c"], "left").groupBy(*key, "f").agg(
+    # Round by round: who has a head before it is none; who has only such before it is one; the others wait, their ``head`` null.
+    # One table a round, and no join by way of the driver, which holds something of every table, stage and task.
+    ends = edges.select(*key, F.col("c").alias("f"), F.lit(True).alias("head")).unionByName(edges.select(*key, "f", F.lit(None).cast("boolean").alias("head")))
+    state = durable(ends.groupBy(*key, "f").agg(F.every(F.col("head").isNotNull()).alias("first")).select(*key, "f", F.when(F.col("first"), True).alias("head")))
+    while not state.where("head is null").isEmpty():
+        told = edges.join(state.withColumnRenamed("f", "c").hint("merge"), [*key, "c"]).groupBy(*key, "f").agg(
             F.max(F.coalesce("head", F.lit(False))).alias("under"), F.bool_and(F.col("head").isNotNull()).alias("all")
         )
-        new = durable(told.where("under or all").select(*key, "f", (~F.col("under")).alias("head")))
-        decided = durable(decided.unionByName(new))
-        open_ = durable(open_.join(new, [*key, "f"], "left_anti"))
-    centres = decided.where("head").select(*key, F.col("f").alias("c"))
+        now = F.coalesce("head", F.when(F.col("under"), False).when(F.col("all"), True))
+        state = durable(state.join(told.hint("merge"), [*key, "f"], "left").select(*key, "f", now.alias("head")))
+    centres = state.where("head").select(*key, F.col("f").alias("c"))
     best = F.min(F.struct("d", (-F.col("nc")).alias("n"), "c"))
-    under = edges.join(decided.where("not head").select(*key, "f"), [*key, "f"], "left_semi").join(centres, [*key, "c"], "left_semi")
+    under = edges.join(state.where("not head").select(*key, "f").hint("merge"), [*key, "f"], "left_semi").join(centres.hint("merge"), [*key, "c"], "left_semi")
     return under.groupBy(*key, "f").agg(best.alias("best")).select(*key, F.col("f").alias("family"), F.col("best.c").alias("head"))
 
 
@@ -479,7 +477,11 @@ def _decide_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(part) > 1:
             rows = list(zip(part["pid"], part["family"], part["given"], part["middle"], part["trade"], part["country"], part["n"]))
             out.extend(_organisations(rows) if kind == "org" else _persons(rows))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    stars = defaultdict(list)  # a profile is in one cluster, whose pairs all have its first profile
+    for a, b in out:
+        stars[a].append(b)
+    edges = [(min(a, *bs), x) for a, bs in stars.items() for x in (a, *bs)]
+    return pd.DataFrame([e for e in edges if e[0] != e[1]], columns=["a", "b"], dtype="int64")
 
 
 def _buckets(df: DataFrame, per: int = 20_000) -> int:
@@ -503,14 +505,13 @@ def link_names(tables: dict[str, DataFrame]) -> DataFrame:
     blocks = hashed.groupBy("tbl", "kind", "key").agg(F.sort_array(F.collect_set("family")).alias("families")).where(F.size("families") > 1)
     near = blocks.select("tbl", "kind", "families").distinct().mapInPandas(_compare_blocks, "tbl string, kind string, fa string, fb string, d int").distinct()
 
-    placed = profiles.join(heads(names, near), ["tbl", "kind", "family"], "left").withColumn("head", F.coalesce("head", "family"))
+    placed = profiles.join(heads(names, near).hint("merge"), ["tbl", "kind", "family"], "left").withColumn("head", F.coalesce("head", "family"))
     # Accepted pairs of persons agree in the class of their initial.
     initial = F.translate(F.substring("given", 1, 1), "".join(_CLASS_OF), "".join(_CLASS_OF.values()))
     placed = placed.withColumn("part", F.when(F.col("kind") == "org", "").otherwise(initial))
     bucket = F.pmod(F.xxhash64("tbl", "kind", "head", "trade", "part"), F.lit(count)).alias("bucket")
-    accepted = durable(placed.groupBy(bucket).applyInPandas(_decide_bucket, "a bigint, b bigint"))
-    clusters = components(accepted)
-    return rows.join(clusters.withColumnRenamed("node", "pid"), "pid", "left").select(
+    clusters = components(placed.groupBy(bucket).applyInPandas(_decide_bucket, "a bigint, b bigint"))
+    return rows.join(clusters.withColumnRenamed("node", "pid").hint("merge"), "pid", "left").select(
         "tbl", "id", F.coalesce("component", "pid").alias("entity")
     )
 
@@ -519,7 +520,7 @@ def entities(linked: DataFrame) -> DataFrame:
     """(tbl, id, entity, links): every row that names somebody, its entity and how many other rows mean the same."""
     linked = durable(linked)
     sizes = linked.groupBy("tbl", "entity").agg((F.count("*") - 1).alias("links"))
-    return linked.join(sizes, ["tbl", "entity"]).select("tbl", "id", "entity", "links")
+    return linked.join(sizes.hint("merge"), ["tbl", "entity"]).select("tbl", "id", "entity", "links")
 
 
 def name_pairs(linked: DataFrame) -> DataFrame:
@@ -527,7 +528,7 @@ def name_pairs(linked: DataFrame) -> DataFrame:
     linked = durable(linked)
     return (
         linked.withColumnRenamed("id", "id_a")
-        .join(linked.withColumnRenamed("id", "id_b"), ["tbl", "entity"])
+        .join(linked.withColumnRenamed("id", "id_b").hint("merge"), ["tbl", "entity"])
         .where("id_a < id_b")
         .select("tbl", "id_a", "id_b")
     )

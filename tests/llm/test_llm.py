@@ -10,7 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexweave.llm import bktree, bpe, canonical, mixing, names, spans
+from lexweave.llm import components as components_
 from lexweave.llm.components import components
+from lexweave.session import durable
 
 DOC = "doc_id bigint, text string, source string"
 
@@ -55,6 +57,25 @@ def test_components(spark):
     assert components(df.limit(0)).count() == 0
 
 
+def test_names_write_few_tables_and_join_none_by_the_driver(spark, monkeypatch):
+    """The driver holds something of every table, stage and task, and all of what is broadcast."""
+    written = []
+    for module in (components_, names):
+        monkeypatch.setattr(module, "durable", lambda df: written.append(1) or durable(df))
+    stars = spark.createDataFrame([(1, 2), (1, 3), (7, 9)], "a bigint, b bigint")
+    assert {tuple(r) for r in components(stars).collect()} == {(1, 1), (2, 1), (3, 1), (7, 7), (9, 7)} and len(written) == 1
+    written.clear()
+    chain = [(f"n{k:02}", f"n{k + 1:02}") for k in range(6)]
+    near = spark.createDataFrame([("t", "person", a, b, 1) for a, b in chain], "tbl string, kind string, fa string, fb string, d int")
+    counted = spark.createDataFrame([("t", "person", f"n{k:02}", 1) for k in range(7)], "tbl string, kind string, family string, n bigint")
+    assert {(r["family"], r["head"]) for r in names.heads(counted, near).collect()} == {("n01", "n00"), ("n03", "n02"), ("n05", "n04")}
+    assert len(written) <= 8  # edges, and one a round
+    people = spark.createDataFrame([(1, "Oduyaze, Thuy", "A"), (2, "Thuy ODUYAZE", "A")], "id bigint, name string, country string")
+    linked = names.link_names({"t": people})
+    for df in (linked, names.name_pairs(linked)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 needs_vocabulary = pytest.mark.skipif(not os.path.exists(os.path.join(bpe.VOCABULARIES, "byte_bpe_50k.json")), reason="no vocabulary files here")
 
 
