@@ -69,14 +69,43 @@ def vector_lines(vectors: DataFrame, value: str, key: str = "doc_id", offset: in
 def corrected_frequencies(grams: DataFrame) -> DataFrame:
     """(n, gram, count): counts lowered by one for each longer gram that begins with, holds or ends in a gram.
 
-    Each of the three is a test of text (``_g``, ``_g_`` and ``g_`` stand in the longer
-    gram), so a longer gram is cut into the texts beside an underscore that hold as many
-    underscores as a gram of that order does, which meet the grams by an equal join.
+    Each of the three is a test of text: ``_g``, ``_g_`` and ``g_`` stand in the longer gram.
+    A longer gram of n words without underscores of their own has n - 1 underscores, so what
+    stands beside one and has n - 2 is all but its first word, with any part of the last one
+    left out at the end, or all but its last word likewise. These two ends are counted first;
+    parts of a word are put in their place only if some gram ends (or begins) with such a part.
     """
-    grams = durable(grams)  # read twice below; the texts are cut into grams once
+    grams = durable(grams, compression="zstd")  # read below again and again; the texts are cut into grams once
+    gram, first, last = F.col("gram"), F.substring_index("gram", "_", 1), F.substring_index("gram", "_", -1)
+    plain = F.length(gram) - F.length(F.replace(gram, F.lit("_"), F.lit(""))) == F.col("n") - 1
+    after, before = F.substring(gram, F.length(first) + 2, F.length(gram)), F.substring(gram, F.lit(1), F.length(gram) - F.length(last) - 1)
+    two = F.array(F.struct(F.lit(0).alias("side"), after.alias("gram")), F.struct(F.lit(1).alias("side"), before.alias("gram")))
+    ends = grams.where("n > 1").where(plain).select((F.col("n") - 1).alias("n"), F.explode(two).alias("e")).groupBy("n", "e.side", "e.gram").agg(F.count("*").alias("less"))
+    ends = ends.withColumn("word", F.when(F.col("side") == 0, last).otherwise(first))
+    rest = F.length(gram) - F.length("word")
+    spelled = F.when(F.col("side") == 0, F.concat(F.substring(gram, F.lit(1), rest), "part")).otherwise(F.concat("part", F.substring(gram, F.length("word") + 1, rest)))
+    parted = ends.join(_parts_of_words(grams), ["side", "word"], "left").select("*", F.explode(F.array_append(F.coalesce("parts", F.array().cast("array<string>")), F.col("word"))).alias("part"))
+    hits = parted.select("n", spelled.alias("gram"), (-F.col("less")).alias("count")).unionByName(_hits_of_odd(grams.where("n > 1").where(~plain)))
+    every = grams.select("n", "gram", "count", F.lit(True).alias("is")).unionByName(hits.withColumn("is", F.lit(False)))
+    return every.groupBy("n", "gram").agg(F.sum("count").alias("count"), F.max("is").alias("is")).where("is").select("n", "gram", "count")
+
+
+def _parts_of_words(grams: DataFrame) -> DataFrame:
+    """(side, word, parts): of the last (side 0) and first (side 1) words of grams their beginnings (endings) that are such words too."""
+    place = F.array(*[F.struct(F.lit(k).alias("side"), F.substring_index("gram", "_", 1 - 2 * (k == 0)).alias("word")) for k in (0, 1)])
+    words = durable(grams.select(F.explode(place).alias("w")).select("w.*").distinct())
+    sizes = F.when(F.length("word") > 1, F.sequence(F.lit(1), F.length("word") - 1))
+    cut = words.select("side", "word", F.explode(sizes).alias("k")).select(
+        "side", F.col("word").alias("whole"), F.when(F.col("side") == 0, F.substring(F.col("word"), F.lit(1), F.col("k"))).otherwise(F.substring(F.col("word"), F.col("k") + 1, F.length("word"))).alias("word")
+    )
+    return cut.join(words, ["side", "word"], "left_semi").groupBy("side", F.col("whole").alias("word")).agg(F.collect_list(F.col("word")).alias("parts"))
+
+
+def _hits_of_odd(grams: DataFrame) -> DataFrame:
+    """(n, gram, count), -1 for each text that a gram with underscores inside its words holds beside an underscore."""
     longer, early, late = F.col("gram"), F.col("early"), F.col("late")
     marks = F.filter(F.sequence(F.lit(1), F.length(longer)), lambda i: F.substring(longer, i, F.lit(1)) == "_")
-    marked = grams.where("n > 1").select("n", "gram", marks.alias("marks"))
+    marked = grams.select("n", "gram", marks.alias("marks"))
     # A text with n - 1 underscores begins before the mark that leaves as many behind it, and ends likewise.
     free = F.size("marks") - F.col("n") + 2
     marked = marked.select("n", "gram", F.slice("marks", F.lit(1), free).alias("early"), F.slice("marks", F.col("n") - 1, free).alias("late"))
@@ -89,9 +118,8 @@ def corrected_frequencies(grams: DataFrame) -> DataFrame:
     any_start = F.sequence(F.lit(0), F.element_at(early, -1) - 1)
     any_end = F.sequence(F.element_at(late, 1) + 1, F.length(longer) + 1)
     hits = F.concat(parts(early, any_end), parts(early, late), parts(any_start, late))
-    cut = marked.select("n", F.explode(hits).alias("piece")).where("piece <> ''").select((F.col("n") - 1).alias("n"), F.col("piece").alias("gram"))
-    lowered = cut.groupBy("n", "gram").agg(F.count("*").alias("less"))
-    return grams.join(lowered, ["n", "gram"], "left").select("n", "gram", (F.col("count") - F.coalesce("less", F.lit(0))).alias("count"))
+    cut = marked.select("n", F.explode(hits).alias("piece")).where("piece <> ''")
+    return cut.select((F.col("n") - 1).alias("n"), F.col("piece").alias("gram"), F.lit(-1).cast("bigint").alias("count"))
 
 
 def repeat_tokens(counts: DataFrame, token: str = "gram", n: str = "count") -> DataFrame:

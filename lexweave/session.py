@@ -72,11 +72,11 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back: lineage ends, executors may be lost."""
+def durable(df: DataFrame, **options: str) -> DataFrame:
+    """Write df once to the shared folder and read it back: lineage ends, executors may be lost. Options are the writer's."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lexweave-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 

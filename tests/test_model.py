@@ -2,6 +2,7 @@
 
 import io
 import json
+import re
 import zipfile
 
 import pytest
@@ -12,6 +13,7 @@ from lexweave.functions import text as ft
 from lexweave.operators import documents as od
 from lexweave.operators import features, flat, formatted, relational
 from lexweave.plans import model, texts, workflow
+from lexweave.session import durable
 from lexweave.sources import files, lookups
 from lexweave.streaming.incremental import load_stream
 
@@ -81,6 +83,27 @@ def test_frequencies_of_all_grams_are_corrected(spark):
     assert len(want) > 2000 and {(r["n"], r["gram"]): r["count"] for r in features.corrected_frequencies(counts).collect()} == want
 
 
+def test_corrected_frequencies_of_words_with_underscores_and_few_rows_moved(spark):
+    words = ["art", "arts", "part", "s_bureau", "bureau", "_law", "law_", "___", "law", "tsart"]
+    texts_ = [" ".join(words[(i * k + i // 5) % 10] for i in range(90)) for k in range(1, 8)]
+    counts = features.ngram_counts(spark.createDataFrame([(t,) for t in texts_], "text string"), 4)
+    before = {(r["n"], r["gram"]): r["count"] for r in counts.collect()}
+    want = {
+        (n, g): c - sum(("_" + g in x) + ("_" + g + "_" in x) + (g + "_" in x) for m, x in before if m == n + 1) for (n, g), c in before.items()
+    }
+    assert any(n < 3 and g.count("_") > n for n, g in want) and {(r["n"], r["gram"]): r["count"] for r in features.corrected_frequencies(counts).collect()} == want
+    long = spark.createDataFrame([(" ".join(f"{chr(97 + i % 26)}{'x' * 20}{i}" for i in range(300)),)], "text string")
+    counts = durable(features.ngram_counts(long, 4))
+    rows = len(features.corrected_frequencies(counts).collect())
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store = spark._jsparkSession.sharedState().statusStore()
+    run = store.executionsList().last()
+    values, metrics = store.executionMetrics(run.executionId()), run.metrics()
+    ids = {m.accumulatorId() for m in (metrics.apply(i) for i in range(metrics.size())) if m.name() == "shuffle records written"}
+    moved = [int(values.apply(i).replace(",", "")) for i in ids if values.contains(i)]
+    assert rows < sum(moved) < 8 * rows  # beginnings of words that no gram has aren't moved
+
+
 def test_tfidf_rows_have_length_one(spark):
     docs = spark.createDataFrame([(1, ["a", "b", "b"]), (2, ["a", "c"]), (3, ["c"])], "doc_id int, tokens array<string>")
     bow = features.bag_of_words(docs, features.vocabulary(docs, 10))
