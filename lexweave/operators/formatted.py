@@ -21,8 +21,10 @@ KEPT = ["itemid", "docname", "application", "appno", "applicability", "decisiond
         "sharepointid", "typedescription"]
 # Fields with several values that are trimmed.
 TRIMMED = ["externalsources", "documentcollectionid", "issue", "representedby"]
-#: Cells of the encoded table that are in memory at once.
-CELLS = 1_000_000
+#: Cells of the encoded table that are in memory at once. A batch costs some microseconds a column, so few rows a batch are slow.
+CELLS = 4_000_000
+#: Cells that a task spreads, about as many as a row group of parquet holds.
+TASK_CELLS = 32_000_000
 #: The fields of a raw case that are read.
 READ = [*KEPT, *TRIMMED, "article", "conclusion", "extractedappno", "kpthesaurus", "scl"]
 
@@ -83,12 +85,15 @@ def encoded(cases: DataFrame, lists: list[str], scalars: list[str]) -> DataFrame
 
     The columns are all those that the data need, sorted; only their names are gathered. A case
     is spread over them inside its row, so what is shuffled or joined is never as wide as the table.
+    The narrow rows are dealt out by the cells that they become, over all cores at least.
     """
     sparse = durable(cases.select("itemid", *scalars, encoded_pairs(cases, lists).alias("pairs")))
     names = sorted(r[0] for r in sparse.select(F.explode("pairs.column").alias("c")).distinct().collect())
     place = {name: k for k, name in enumerate(names)}
     own = ["itemid", *scalars]
-    coded = sparse.select(*own, F.col("pairs.column").alias("_columns"), F.col("pairs.v").alias("_values"))
+    rows = sparse.count()
+    tasks = max(sparse.sparkSession.sparkContext.defaultParallelism, -(-rows * len(names) // TASK_CELLS))
+    coded = sparse.select(*own, F.col("pairs.column").alias("_columns"), F.col("pairs.v").alias("_values")).repartition(max(1, min(rows, tasks)))
     schema = T.StructType([*sparse.select(*own).schema.fields, *(T.StructField(name, T.LongType(), False) for name in names)])
     per = max(1, CELLS // max(1, len(names)))
 
@@ -96,10 +101,12 @@ def encoded(cases: DataFrame, lists: list[str], scalars: list[str]) -> DataFrame
         for batch in batches:
             for at in range(0, batch.num_rows, per):
                 part = batch.slice(at, per)
-                cells = np.zeros((len(names), part.num_rows), dtype=np.int64)
+                n = part.num_rows
+                cells = np.zeros((len(names), n), dtype=np.int64)
                 columns, values = part.column("_columns"), part.column("_values")
-                row = np.repeat(np.arange(part.num_rows), columns.value_lengths().to_numpy(zero_copy_only=False))
+                row = np.repeat(np.arange(n), columns.value_lengths().to_numpy(zero_copy_only=False))
                 np.add.at(cells, ([place[c] for c in columns.flatten().to_pylist()], row), values.flatten().to_numpy(zero_copy_only=False))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), *map(pa.array, cells)], [*own, *names])
+                dense = pa.array(cells.ravel())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), *(dense.slice(k * n, n) for k in range(len(names)))], [*own, *names])
 
     return coded.mapInArrow(run, schema)

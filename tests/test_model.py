@@ -274,6 +274,17 @@ def test_encoded_cases_have_as_many_columns_as_the_data_need(spark):
     assert tuple(got) == (1, 3, 2)
 
 
+def test_encoded_cases_are_dealt_out_by_their_cells(spark, monkeypatch):
+    finding = "array<struct<article:string,type:string>>"
+    df = spark.createDataFrame([(f"c{k}", [f"v{k % 5}"], None) for k in range(60)], f"itemid string, list array<string>, conclusion {finding}").coalesce(1)
+    assert formatted.encoded(df, ["list"], []).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(formatted, "TASK_CELLS", 20)
+    wide = formatted.encoded(df, ["list"], [])
+    assert wide.rdd.getNumPartitions() == 15
+    assert {tuple(r)[1:] for r in wide.collect()} == {tuple(int(k == j) for k in range(5)) for j in range(5)} and wide.count() == 60
+    assert formatted.encoded(df.limit(0), ["list"], []).count() == 0
+
+
 def test_data_set_lines_read_each_text_once_for_the_vocabulary_and_once_for_the_line(spark):
     both = model.dataset_descriptive_bow(spark, "/root/testdata/sf0.001")
     plan = both._jdf.queryExecution().executedPlan().toString()
